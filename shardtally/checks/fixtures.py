@@ -1,4 +1,4 @@
-"""Event tables derived from the test data (see FIXTURES.md), lazily and in Spark."""
+"""Event tables derived from the test data (see FIXTURES.md) in Spark."""
 
 from __future__ import annotations
 
@@ -45,10 +45,11 @@ def _key_values(**values: Column) -> Column:
             (F.lit(None) if is_int else value).cast("string").alias("string_value"),
             (value if is_int else F.lit(None)).cast("long").alias("int_value"),
         )
-        entry = F.array(F.struct(F.lit(key).alias("key"), slots.alias("value")))
-        none = F.array().cast(schema.KEY_VALUES)
-        entries.append(F.when(value.isNotNull(), entry.cast(schema.KEY_VALUES)).otherwise(none))
-    return F.flatten(F.array(*entries))
+        entries.append(F.struct(F.lit(key).alias("key"), slots.alias("value")))
+    return F.filter(
+        F.array(*entries),
+        lambda e: e["value"]["string_value"].isNotNull() | e["value"]["int_value"].isNotNull(),
+    ).cast(schema.KEY_VALUES)
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,9 +163,9 @@ def internal_phones(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def shard_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+def shard_tables(events: DataFrame) -> DataFrame:
     """Table names of a catalogue: intraday and final shards, and two other tables."""
-    days = events(spark, sf_dir).select("shard").distinct()
+    days = events.select("shard").distinct()
     names = F.array(
         _numbered(C.INTRADAY_PREFIX, F.col("shard")),
         _numbered(C.FINAL_PREFIX, F.col("shard")),

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, lru_cache
+from hashlib import sha256
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from shardtally.checks import fixtures, oracle
+from shardtally.sources.events import read_events
 
 
 class Tables:
@@ -15,11 +19,21 @@ class Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
     @cached_property
     def events(self) -> DataFrame:
-        return fixtures.events(self.spark, self.sf_dir)
+        """Events as the library is meant to find them: a table with one partition per day.
+
+        Spark derives all of it from the test data once per application and writes it to the
+        shared folder; every query then scans that table.  Rebalancing gives each day whole
+        files and splits a day that holds too much for one task.
+        """
+        derived = fixtures.events(self.spark, self.sf_dir)
+        path = f"{shared_folder(self.spark)}/events-{sha256(self.sf_dir.encode()).hexdigest()[:12]}"
+        derived.hint("rebalance", "shard").write.mode("overwrite").partitionBy("shard").parquet(path)
+        return read_events(
+            self.spark, path, more_fields=[T.StructField("event_id", T.LongType())]
+        )
 
     @cached_property
     def sessions(self) -> DataFrame:
@@ -31,13 +45,25 @@ class Tables:
 
     @cached_property
     def shards(self) -> DataFrame:
-        return fixtures.shard_tables(self.spark, self.sf_dir)
+        return fixtures.shard_tables(self.events)
 
     @property
     def all(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         return self.events, self.sessions, self.phones
 
 
+@lru_cache(maxsize=8)
+def tables(spark: SparkSession, sf_dir: str) -> Tables:
+    return Tables(spark, sf_dir)
+
+
+@lru_cache(maxsize=8)
+def shared_folder(spark: SparkSession) -> str:
+    """This application's place in the cluster's checkpoint folder (a new one if it names none)."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="shardtally-")
+    return f"{base.rstrip('/')}/shardtally-{spark.sparkContext.applicationId}"
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -48,7 +74,12 @@ def check(name: str, body: str):
     def register(build: Callable[[Tables], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"query '{name}' is registered twice")
-        QUERIES[name] = lambda spark, sf_dir: build(Tables(spark, sf_dir))
+
+        def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return build(tables(spark, sf_dir))
+
+        QUERIES[name] = query
         ORACLE[name] = oracle.with_fixtures(body)
         return build
 

@@ -2,20 +2,30 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shardtally.constants import INTRADAY_PREFIX
 from shardtally.functions.windows import Window
 from shardtally.sources import schema
 
 
-def read_events(spark: SparkSession, path: str, window: Window | None = None) -> DataFrame:
+def read_events(
+    spark: SparkSession,
+    path: str,
+    window: Window | None = None,
+    more_fields: Iterable[T.StructField] = (),
+) -> DataFrame:
     """Events under ``path`` (Parquet, partitioned by ``shard``), within ``window`` if given.
 
     The schema is stated, so no file is opened to infer it and ``shard`` stays text.
+    ``more_fields`` names columns of the table beyond those the operators read.
     """
-    events = spark.read.schema(schema.EVENTS).parquet(path)
+    fields = T.StructType([*schema.EVENTS.fields, *more_fields])
+    events = spark.read.schema(fields).parquet(path)
     return events if window is None else in_window(events, window)
 
 
