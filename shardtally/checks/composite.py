@@ -329,7 +329,7 @@ def monthly_message_stats(t):
 
 @check("monthly_action_share", _CLICKED + " SELECT * FROM clicked")
 def monthly_action_share(t):
-    clicks = _history(t).where(activity.is_notification_click())
+    clicks = activity.notification_clicks(_history(t))
     return activity.monthly_action_share(clicks, _internal(t))
 
 
@@ -340,7 +340,7 @@ def monthly_action_share(t):
     + " FROM clicks GROUP BY 1",
 )
 def monthly_action_pivot(t):
-    return activity.monthly_action_pivot(t.events.where(activity.is_notification_click()))
+    return activity.monthly_action_pivot(activity.notification_clicks(t.events))
 
 
 @check(
@@ -349,7 +349,7 @@ def monthly_action_pivot(t):
     + _ACTIVE,
 )
 def active_users(t):
-    return activity.active_users(t.events.where(activity.is_notification_screen_view()))
+    return activity.active_users(activity.notification_screen_views(t.events))
 
 
 _EXTRACT = f""" SELECT event_timestamp,

@@ -7,7 +7,7 @@ Parquet scan leave out the slot nobody asked for.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SLOTS = {"string": "string_value", "int": "int_value"}
@@ -38,28 +38,40 @@ def prop(key: str, strict: bool = False, array: Column | str = "user_properties"
     return param(array, key, "string", strict)
 
 
-def largest_param(array: Column | str, key: str, kind: str, default: str | None = None) -> Column:
-    """Largest value of ``key`` over all entries; entries with another key count as ``default``.
+def largest_first(array: Column | str, kind: str) -> Column:
+    """Keys and values of one slot as parallel arrays in which the first entry of a key is its
+    largest.  Only an array that repeats a key is sorted for this."""
+    entries = _column(array)
+    keys, values = entries["key"], entries["value"][SLOTS[kind]]
+    ordered = F.sort_array(F.arrays_zip(keys.alias("key"), values.alias("value")), asc=False)
+    repeats = F.size(F.array_distinct(keys)) < F.size(keys)
+    return F.when(
+        repeats, F.struct(ordered["key"].alias("keys"), ordered["value"].alias("values"))
+    ).otherwise(F.struct(keys.alias("keys"), values.alias("values")))
+
+
+def largest_value(ordered: Column | str, key: str, default: str | None = None) -> Column:
+    """Largest value of ``key`` in a ``largest_first`` column.
 
-    An event with no entries at all gives ``default``.
+    Entries with another key count as ``default``, and so does an array without entries; NULL
+    values do not count.
     """
-    entries = _column(array)
-    keys = entries["key"]
-    fallback = F.lit(default)
-    repeated = F.size(keys) - F.size(F.array_remove(keys, key)) > 1
-    others = F.size(F.array_remove(keys, key)) > 0
-    single = param(array, key, kind)
-    several = F.array_max(
-        F.transform(
-            F.filter(entries, lambda e: e["key"] == key), lambda e: e["value"][SLOTS[kind]]
-        )
-    )
-    value = F.when(repeated, several).otherwise(single)
+    entries = _column(ordered)
+    keys = entries["keys"]
+    value = F.get(entries["values"], (F.array_position(keys, key) - 1).cast("int"))
     if default is None:
         return value
-    # ``greatest`` skips NULLs, so the default wins over a NULL value but not over a larger one.
-    return (
-        F.when(F.coalesce(F.size(keys), F.lit(0)) < 1, fallback)
-        .when(others, F.greatest(value, fallback))
-        .otherwise(value)
-    )
+    only_key = (F.size(keys) > 0) & (F.size(F.array_remove(keys, key)) == 0)
+    return F.when(only_key, value).otherwise(F.greatest(value, F.lit(default)))
+
+
+def evaluate_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with further columns, each evaluated once per row.
+
+    Catalyst moves a filter below the projection that makes its columns, and so evaluates
+    every lookup anew for each mention, in predicates and in derived null checks alike.
+    Rows that come out of ``inline`` of a one-row array are not taken apart that way, and
+    they stay inside codegen.  Filters on the other columns still reach the scan.
+    """
+    row = F.struct(*[column.alias(name) for name, column in columns.items()])
+    return df.select("*", F.inline(F.array(row)))

@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shardtally import constants as C
-from shardtally.functions.keyvalue import param, prop
+from shardtally.functions.keyvalue import evaluate_once, param, prop
 from shardtally.functions.numbers import percentage, ratio
 from shardtally.functions.times import event_date, event_month, month_text
 from shardtally.operators.audience import USER, exclude_users
@@ -20,18 +20,25 @@ from shardtally.operators.audience import USER, exclude_users
 MONTH = "event_month"
 
 
-def is_notification_click() -> Column:
-    return (
-        F.col("event_name").like(C.NOTIFICATION_PATTERN)
-        & (param("event_params", "event_type") == C.CLICK_EVENT_TYPE)
-        & (param("event_params", "firebase_screen_class") == C.NOTIFICATION_SCREEN)
+def notification_clicks(events: DataFrame) -> DataFrame:
+    """Clicks on push notifications, with their ``action``."""
+    named = events.where(F.col("event_name").like(C.NOTIFICATION_PATTERN))
+    known = evaluate_once(
+        named,
+        __event_type=param("event_params", "event_type"),
+        __screen=param("event_params", "firebase_screen_class"),
+        action=param("event_params", "action"),
+    )
+    is_click = (F.col("__event_type") == C.CLICK_EVENT_TYPE) & (
+        F.col("__screen") == C.NOTIFICATION_SCREEN
     )
+    return known.where(is_click).drop("__event_type", "__screen")
 
 
-def is_notification_screen_view() -> Column:
-    return F.col("event_name").like(C.SCREEN_VIEW_PATTERN) & (
-        param("event_params", "firebase_screen_class") == C.NOTIFICATION_SCREEN
-    )
+def notification_screen_views(events: DataFrame) -> DataFrame:
+    """Views of the notification screen."""
+    named = events.where(F.col("event_name").like(C.SCREEN_VIEW_PATTERN))
+    return named.where(param("event_params", "firebase_screen_class") == C.NOTIFICATION_SCREEN)
 
 
 def monthly_distinct_users(
@@ -66,9 +73,9 @@ def monthly_action_share(
 ) -> DataFrame:
     """Clicks per month, and how many of them (also in percent) had the given action."""
     per_user = (
-        clicks.select(USER, month_text().alias(MONTH), param("event_params", "action").alias("a"))
+        clicks.select(USER, month_text().alias(MONTH), "action")
         .groupBy(USER, MONTH)
-        .agg(F.count("*").alias("clicks"), F.count_if(F.col("a") == action).alias("hits"))
+        .agg(F.count("*").alias("clicks"), F.count_if(F.col("action") == action).alias("hits"))
     )
     totals = exclude_users(per_user, excluded).groupBy(MONTH).agg(
         F.sum("clicks").alias("total_notifications"), F.sum("hits").alias("ccc_message_count")
@@ -84,9 +91,9 @@ def monthly_action_pivot(
 ) -> DataFrame:
     """Clicks per month (first day, a date), one column per action."""
     per_user = (
-        clicks.select(USER, event_month().alias(MONTH), param("event_params", "action").alias("a"))
+        clicks.select(USER, event_month().alias(MONTH), "action")
         .groupBy(USER, MONTH)
-        .agg(*[F.count_if(F.col("a") == value).alias(name) for name, value in actions.items()])
+        .agg(*[F.count_if(F.col("action") == v).alias(name) for name, v in actions.items()])
     )
     return (
         exclude_users(per_user, excluded)
@@ -127,26 +134,32 @@ def monthly_messaging(events: DataFrame, excluded: DataFrame | None = None) -> D
     """
     name = F.col("event_name")
     is_api, is_message = name.isin(*C.API_EVENTS), name == C.MESSAGE_SENT
-    kind = F.when(is_api, "api").when(is_message, "message").when(is_notification_click(), "click")
+    kind = F.when(is_api, "api").when(is_message, "message").otherwise("click")
+    wanted = events.where(is_api | is_message | name.like(C.NOTIFICATION_PATTERN))
+    known = evaluate_once(
+        wanted,
+        kind=kind,
+        connect_id=F.when(is_api, prop("user_cid")),
+        sender_id=F.when(is_message, F.col("user_id")),
+        event_type=param("event_params", "event_type"),
+        screen=param("event_params", "firebase_screen_class"),
+        action=param("event_params", "action"),
+    )
     is_kind = F.col("kind")
+    is_click = (F.col("event_type") == C.CLICK_EVENT_TYPE) & (
+        F.col("screen") == C.NOTIFICATION_SCREEN
+    )
     per_user = (
-        events.select(USER, "user_id", "event_params", "user_properties", "event_timestamp",
-                      kind.alias("kind"))
-        .where(is_kind.isNotNull())
-        .select(
-            USER,
-            month_text().alias(MONTH),
-            "kind",
-            F.when(is_kind == "api", prop("user_cid")).alias("connect_id"),
-            F.when(is_kind == "message", F.col("user_id")).alias("sender_id"),
-            F.when(is_kind == "click", param("event_params", "action")).alias("action"),
-        )
+        known.where((is_kind != "click") | is_click)
+        .withColumn(MONTH, month_text())
         .groupBy(USER, MONTH, "connect_id", "sender_id")
         .agg(
             F.count_if(is_kind == "api").alias("api_calls"),
             F.count_if(is_kind == "message").alias("messages"),
             F.count_if(is_kind == "click").alias("clicks"),
-            F.count_if(F.col("action") == C.MESSAGE_ACTION).alias("message_clicks"),
+            F.count_if((is_kind == "click") & (F.col("action") == C.MESSAGE_ACTION)).alias(
+                "message_clicks"
+            ),
         )
     )
     totals = (

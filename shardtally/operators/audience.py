@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shardtally import constants as C
-from shardtally.functions.keyvalue import prop
+from shardtally.functions.keyvalue import evaluate_once, prop
 from shardtally.functions.windows import Window
 from shardtally.sources.events import in_window
 
@@ -39,9 +39,9 @@ def internal_users(
     and broadcasts it only if it is small.
     """
     pairs = (
-        in_window(events, window)
-        .select(USER, device_key().alias("device_id"))
+        evaluate_once(in_window(events, window), device_id=device_key())
         .where(F.col("device_id").isNotNull())
+        .select(USER, "device_id")
         .distinct()
     )
     devices = internal_devices(sessions, phones)
@@ -66,8 +66,7 @@ def internal_or_flagged_users(
     """``internal_users`` and ``flagged_users`` together, in one pass over the events."""
     flag = F.coalesce(prop(key) == value, F.lit(False))
     pairs = (
-        in_window(events, window)
-        .select(USER, device_key().alias("device_id"), flag.alias("flagged"))
+        evaluate_once(in_window(events, window), device_id=device_key(), flagged=flag)
         .where(F.col("device_id").isNotNull() | F.col("flagged"))
         .groupBy(USER, "device_id")
         .agg(F.max("flagged").alias("flagged"))
@@ -109,22 +108,20 @@ def has_flavor(flavor: str = C.PRODUCTION_FLAVOR) -> Column:
     return prop("app_flavor") == flavor
 
 
-def is_production(
-    domains: Sequence[str] = C.NON_PRODUCTION_DOMAINS,
-    server: str = C.STAGING_SERVER,
-    flavor: str = C.PRODUCTION_FLAVOR,
-) -> Column:
-    """True for production events; not true if the domain or the server is missing."""
-    condition = has_flavor(flavor) & (prop("server") != server)
-    for pattern in domains:
-        condition &= ~prop("cchq_domain").like(pattern)
-    return condition
-
-
 def production_events(
     events: DataFrame,
     domains: Sequence[str] = C.NON_PRODUCTION_DOMAINS,
     server: str = C.STAGING_SERVER,
     flavor: str = C.PRODUCTION_FLAVOR,
 ) -> DataFrame:
-    return events.where(is_production(domains, server, flavor))
+    """Events of production apps; an event without a domain or a server is not one."""
+    known = evaluate_once(
+        events,
+        __flavor=prop("app_flavor"),
+        __server=prop("server"),
+        __domain=prop("cchq_domain"),
+    )
+    wanted = (F.col("__flavor") == flavor) & (F.col("__server") != server)
+    for pattern in domains:
+        wanted &= ~F.col("__domain").like(pattern)
+    return known.where(wanted).drop("__flavor", "__server", "__domain")

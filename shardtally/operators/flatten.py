@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shardtally.functions.keyvalue import largest_param
+from shardtally.functions.keyvalue import evaluate_once, largest_first, largest_value
 
 
 def flatten_event_params(
@@ -20,14 +20,18 @@ def flatten_event_params(
     ``integers`` and ``strings`` map output columns to parameter keys.  Of several values the
     largest counts; a missing integer is NULL, a missing string is ''.
 
-    The arrays are reduced in place rather than exploded, so rows do not multiply before
-    the shuffle, and copies of an event are merged on the map side.
+    The arrays are reduced in place rather than exploded: rows do not multiply, only the
+    columns asked for reach the aggregate, and copies of an event merge on the map side.
     """
-    columns = [
-        F.max(largest_param("event_params", key, "int")).alias(name)
-        for name, key in integers.items()
-    ] + [
-        F.max(largest_param("event_params", key, "string", default="")).alias(name)
-        for name, key in strings.items()
-    ]
-    return events.groupBy("user_pseudo_id", "event_name", "event_timestamp").agg(*columns)
+    ordered = evaluate_once(
+        events,
+        __integers=largest_first("event_params", "int"),
+        __strings=largest_first("event_params", "string"),
+    )
+    values = {name: largest_value("__integers", key) for name, key in integers.items()}
+    values |= {name: largest_value("__strings", key, "") for name, key in strings.items()}
+    return (
+        evaluate_once(ordered, **values)
+        .groupBy("user_pseudo_id", "event_name", "event_timestamp")
+        .agg(*[F.max(name).alias(name) for name in values])
+    )

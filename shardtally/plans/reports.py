@@ -82,7 +82,7 @@ def notification_clicks(
 ) -> DataFrame:
     """Clicks on notifications per month and action."""
     recent, excluded = _production(events, sessions, phones, as_of, history_months, excluded)
-    clicks = recent.where(activity.is_notification_click())
+    clicks = activity.notification_clicks(recent)
     return activity.monthly_action_pivot(clicks, excluded).orderBy("event_month")
 
 
@@ -96,7 +96,7 @@ def notification_dau_mau(
 ) -> DataFrame:
     """Daily and monthly users of the notification screen."""
     recent, excluded = _production(events, sessions, phones, as_of, history_months, excluded)
-    views = recent.where(activity.is_notification_screen_view())
+    views = activity.notification_screen_views(recent)
     return activity.active_users(views, excluded).orderBy("period", "metric_type")
 
 
@@ -110,7 +110,7 @@ def notification_screen_views(
 ) -> DataFrame:
     """Every view of the notification screen, flat."""
     recent, excluded = _production(events, sessions, phones, as_of, history_months, excluded)
-    views = extract.screen_view_extract(recent.where(activity.is_notification_screen_view()))
+    views = extract.screen_view_extract(activity.notification_screen_views(recent))
     return audience.exclude_users(views, excluded)
 
 
