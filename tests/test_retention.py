@@ -1,0 +1,67 @@
+from datetime import date
+
+import pytest
+
+from rows import at, event, events
+from shardtally.operators import retention
+from shardtally.sources.events import shard_tables
+
+AS_OF = at(2024, 8, 31, 12)
+DAYS = ["20240302", "20240303", "20240304", "20240801"]
+
+
+def tables(spark, *names):
+    return spark.createDataFrame([(name,) for name in names], "table_name string")
+
+
+def test_shard_of_exactly_180_days_stays(spark):
+    names = [prefix + day for prefix in ("events_", "events_intraday_") for day in DAYS]
+    expired = retention.expired_shards(tables(spark, *names), AS_OF)
+    assert sorted(r.table_name for r in expired.collect()) == [
+        "events_20240302",
+        "events_20240303",
+        "events_intraday_20240302",
+        "events_intraday_20240303",
+    ]
+
+
+def test_other_tables_are_never_parsed(spark):
+    names = ["users", "events_fresh_20240101", "events_20240101_copy", "events_99999999x", "events_1"]
+    assert retention.expired_shards(tables(spark, *names), AS_OF).count() == 0
+
+
+def test_impossible_day_of_a_shard_is_an_error(spark):
+    with pytest.raises(Exception, match="CANNOT_PARSE_TIMESTAMP|99999999"):
+        retention.expired_shards(tables(spark, "events_99999999"), AS_OF).collect()
+
+
+def test_shard_day(spark):
+    days = tables(spark, "events_intraday_20240229", "users").select(
+        retention.shard_day("table_name").alias("day")
+    )
+    assert [r.day for r in days.collect()] == [date(2024, 2, 29), None]
+
+
+def test_kept_and_expired_events_are_all_events(spark):
+    df = events(spark, [event("e") | {"shard": day} for day in DAYS])
+    kept = {r.shard for r in retention.kept_events(df, AS_OF).collect()}
+    assert kept == {"20240304", "20240801"}
+
+
+def test_apply_retention_drops_partitions_only_when_told(spark):
+    df = events(spark, [event("e") | {"shard": day} for day in DAYS])
+    df.write.mode("overwrite").partitionBy("shard").format("parquet").saveAsTable("app_events")
+    try:
+        names = {r.table_name for r in shard_tables(spark, "app_events").collect()}
+        assert names == {f"events_intraday_{day}" for day in DAYS}
+
+        expired = ["events_intraday_20240302", "events_intraday_20240303"]
+        assert retention.apply_retention(spark, "app_events", AS_OF) == expired
+        assert spark.table("app_events").count() == 4
+
+        assert retention.apply_retention(spark, "app_events", AS_OF, dry_run=False) == expired
+        left = {r.shard for r in spark.table("app_events").select("shard").collect()}
+        assert left == {"20240304", "20240801"}
+        assert retention.apply_retention(spark, "app_events", AS_OF, dry_run=False) == []
+    finally:
+        spark.sql("DROP TABLE IF EXISTS app_events")
