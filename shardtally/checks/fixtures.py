@@ -14,15 +14,7 @@ from shardtally.sources import schema
 AS_OF = datetime(2024, 4, 30, 12, tzinfo=UTC)
 RETENTION_AS_OF = datetime(2024, 8, 31, 12, tzinfo=UTC)
 
-PAGE_CYCLE = [
-    "PersonalIdPhoneFragment",
-    "PersonalIdBiometricConfigFragment",
-    "PersonalIdPhoneVerificationFragment",
-    "PersonalIdNameFragment",
-    "PersonalIdBackupCodeFragment",
-    "PersonalIdPhotoCaptureFragment",
-    "PersonalIdActivity",
-]
+PAGE_CYCLE = [*C.PAGES.values(), C.ACTIVITY_SCREEN]
 REASON_CYCLE = [*C.PHONE_ERRORS, *C.BIOMETRIC_ERRORS, C.LOCKOUT_REASON]
 ACTION_CYCLE = list(C.CLICK_ACTIONS.values())
 PACKAGE = "x" * (C.SCREEN_NAME_START - 1)
@@ -52,7 +44,10 @@ def _key_values(**values: Column) -> Column:
     ).cast(schema.KEY_VALUES)
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events(spark: SparkSession, sf_dir: str, by_day: bool = False) -> DataFrame:
+    """The event table.  ``by_day`` brings the rows of a day together, for writing day
+    partitions: the short raw rows are shuffled, before the nested columns are made, and
+    a day with too many rows for one task is split."""
     k = F.col("k")
     uid = F.col("uid")
     made = F.col("event_type")
@@ -84,7 +79,10 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(k % 3 == 1, "ccc_notification_type")
             .otherwise(C.SCREEN_VIEW),
         )
+        .withColumn("shard", F.date_format(utc().cast("date"), "yyyyMMdd"))
     )
+    if by_day:
+        base = base.hint("rebalance", "shard")
     is_click = name == "ccc_notification_type"
     params = _key_values(
         ga_session_id=uid * 1000 + (row % 4) * 10 + k % 3,
@@ -102,13 +100,13 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
         action=F.when(is_click, _cycle(ACTION_CYCLE, k % 8)),
     )
     properties = _key_values(
-        app_flavor=F.when(uid % 10 == 9, "lts").otherwise(C.PRODUCTION_FLAVOR),
+        app_flavor=F.when(uid % 10 == 9, C.OTHER_FLAVOR).otherwise(C.PRODUCTION_FLAVOR),
         device_id=_numbered("d", uid),
         cchq_domain=F.when(uid % 23 == 5, None)
-        .when(uid % 17 == 3, "qa1.commcarehq.org")
-        .when(uid % 19 == 4, "mytest.commcarehq.org")
-        .otherwise("main.commcarehq.org"),
-        server=F.when(uid % 29 == 7, C.STAGING_SERVER).otherwise("www.commcarehq.org"),
+        .when(uid % 17 == 3, C.QA_DOMAIN)
+        .when(uid % 19 == 4, C.TEST_DOMAIN)
+        .otherwise(C.PRODUCTION_DOMAIN),
+        server=F.when(uid % 29 == 7, C.STAGING_SERVER).otherwise(C.PRODUCTION_SERVER),
         user_cid=F.when(k % 4 != 1, _numbered("c", uid)),
         user_id=_numbered("cc", uid),
         ccc_enabled=F.when(uid % 2 == 0, "true").otherwise("false"),
@@ -131,7 +129,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
         _numbered("sub", uid % 4).alias("sub_continent"),
     )
     return base.select(
-        F.date_format(utc().cast("date"), "yyyyMMdd").alias("shard"),
+        "shard",
         "event_id",
         "event_name",
         "event_timestamp",

@@ -35,7 +35,7 @@ def _pick(number: str, values: list[str]) -> str:
     return "[" + ", ".join(f"'{v}'" for v in values) + f"][{number} + 1]"
 
 
-_PAGES = [*C.PAGES.values(), "PersonalIdActivity"]
+_PAGES = [*C.PAGES.values(), C.ACTIVITY_SCREEN]
 _REASONS = [*C.PHONE_ERRORS, *C.BIOMETRIC_ERRORS, C.LOCKOUT_REASON]
 _ACTIONS = list(C.CLICK_ACTIONS.values())
 
@@ -51,8 +51,8 @@ named AS (
     CASE made
       WHEN 'view' THEN 'screen_view'
       WHEN 'error' THEN 'personal_id_configuration_failure'
-      WHEN 'signup' THEN CASE WHEN k % 4 = 0 THEN 'personalid_account_created' ELSE 'screen_view' END
-      WHEN 'purchase' THEN CASE WHEN k % 4 = 3 THEN 'personal_id_message_sent' ELSE 'personalid_account_recovered' END
+      WHEN 'signup' THEN CASE WHEN k % 4 = 0 THEN '{C.ACCOUNT_CREATED}' ELSE 'screen_view' END
+      WHEN 'purchase' THEN CASE WHEN k % 4 = 3 THEN 'personal_id_message_sent' ELSE '{C.ACCOUNT_RECOVERED}' END
       ELSE CASE k % 3
         WHEN 0 THEN {_pick('event_id % 3', list(C.API_EVENTS))}
         WHEN 1 THEN 'ccc_notification_type'
@@ -70,19 +70,19 @@ ev AS (
       _entry('ga_session_number', integer='event_id % 4 + 1'),
       _entry('firebase_screen_class', f'''CASE
         WHEN event_name = 'ccc_notification_type' OR (made = 'click' AND event_name = 'screen_view') THEN 'PushNotificationActivity'
-        WHEN made = 'signup' AND event_name = 'screen_view' THEN {PREFIX34} || 'PersonalIdPhoneFragment'
+        WHEN made = 'signup' AND event_name = 'screen_view' THEN {PREFIX34} || '{C.PAGES['phone_page']}'
         WHEN made = 'view' THEN {PREFIX34} || {_pick('k % 7', _PAGES)} END'''),
       _entry('reason', f"CASE WHEN made = 'error' THEN {_pick('k % 8', _REASONS)} END"),
-      _entry('value', integer="CASE WHEN event_name = 'personalid_account_recovered' THEN CASE WHEN k % 5 <= 1 THEN 1 ELSE 0 END END"),
+      _entry('value', integer=f"CASE WHEN event_name = '{C.ACCOUNT_RECOVERED}' THEN CASE WHEN k % 5 <= 1 THEN 1 ELSE 0 END END"),
       _entry('event_type', "CASE WHEN event_name = 'ccc_notification_type' THEN CASE WHEN k % 11 = 0 THEN 'other' ELSE 'click_notification' END END"),
       _entry('action', f"CASE WHEN event_name = 'ccc_notification_type' THEN {_pick('k % 8', _ACTIONS)} END"),
     )} AS event_params,
     {_entries(
-      _entry('app_flavor', f"CASE WHEN uid % 10 = 9 THEN 'lts' ELSE '{C.PRODUCTION_FLAVOR}' END"),
+      _entry('app_flavor', f"CASE WHEN uid % 10 = 9 THEN '{C.OTHER_FLAVOR}' ELSE '{C.PRODUCTION_FLAVOR}' END"),
       _entry('device_id', "'d' || uid"),
-      _entry('cchq_domain', '''CASE WHEN uid % 23 = 5 THEN NULL WHEN uid % 17 = 3 THEN 'qa1.commcarehq.org'
-        WHEN uid % 19 = 4 THEN 'mytest.commcarehq.org' ELSE 'main.commcarehq.org' END'''),
-      _entry('server', f"CASE WHEN uid % 29 = 7 THEN '{C.STAGING_SERVER}' ELSE 'www.commcarehq.org' END"),
+      _entry('cchq_domain', f'''CASE WHEN uid % 23 = 5 THEN NULL WHEN uid % 17 = 3 THEN '{C.QA_DOMAIN}'
+        WHEN uid % 19 = 4 THEN '{C.TEST_DOMAIN}' ELSE '{C.PRODUCTION_DOMAIN}' END'''),
+      _entry('server', f"CASE WHEN uid % 29 = 7 THEN '{C.STAGING_SERVER}' ELSE '{C.PRODUCTION_SERVER}' END"),
       _entry('user_cid', "CASE WHEN k % 4 <> 1 THEN 'c' || uid END"),
       _entry('user_id', "'cc' || uid"),
       _entry('ccc_enabled', "CASE WHEN uid % 2 = 0 THEN 'true' ELSE 'false' END"),
@@ -124,8 +124,8 @@ demo_seen AS (
 
 IS_FLAVOR = f"{p('app_flavor')} = '{C.PRODUCTION_FLAVOR}'"
 IS_PRODUCTION = (
-    f"{p('cchq_domain')} NOT LIKE '%qa%commcarehq.org' "
-    f"AND {p('cchq_domain')} NOT LIKE '%test%commcarehq.org' "
+    f"{p('cchq_domain')} NOT LIKE '{C.NON_PRODUCTION_DOMAINS[0]}' "
+    f"AND {p('cchq_domain')} NOT LIKE '{C.NON_PRODUCTION_DOMAINS[1]}' "
     f"AND {p('server')} <> '{C.STAGING_SERVER}' AND {IS_FLAVOR}"
 )
 IS_CLICK = (
@@ -194,15 +194,15 @@ def funnel(where: str, excluded: str = "") -> str:
     """CTEs from the events of ``where`` to session rows (``older`` splits weekly sessions)."""
     return f""",
 starting AS (SELECT * FROM ev WHERE {where} AND {IS_FLAVOR} AND event_name IN
-  ('screen_view', 'personal_id_configuration_failure', 'personalid_account_created', 'personalid_account_recovered')),
+  ('screen_view', 'personal_id_configuration_failure', '{C.ACCOUNT_CREATED}', '{C.ACCOUNT_RECOVERED}')),
 {FLAT},
 steps AS (
   SELECT *,
     strftime(make_timestamp(event_timestamp), '%Y-%m-%dT%H:%M:%SZ') AS event_datetime,
     CAST(make_timestamp(event_timestamp) > {NOON_MARCH_30} AS BIGINT) AS recent_data,
     CASE event_name WHEN 'screen_view' THEN substr(screen_class, 35) ELSE '' END AS screen_name,
-    CASE event_name WHEN 'personalid_account_created' THEN 'created'
-                    WHEN 'personalid_account_recovered' THEN 'recovered' ELSE reason END AS outcome
+    CASE event_name WHEN '{C.ACCOUNT_CREATED}' THEN 'created'
+                    WHEN '{C.ACCOUNT_RECOVERED}' THEN 'recovered' ELSE reason END AS outcome
   FROM flat {excluded}
 ),
 flags AS (
@@ -218,7 +218,7 @@ flags AS (
     CASE WHEN incorrect_backup_code = 1 THEN event_datetime END AS wrong_backup_code_date
   FROM steps
   WHERE event_name <> 'screen_view'
-     OR (screen_name ILIKE '%personalid%' AND screen_name NOT ILIKE '%activity%')
+     OR (screen_name ILIKE '%{C.FUNNEL_SCREEN_WORD}%' AND screen_name NOT ILIKE '%{C.NON_FUNNEL_SCREEN_WORD}%')
 )"""
 
 

@@ -148,8 +148,8 @@ def nested_field(t):
 @check(
     "compare",
     ATTRIBUTES
-    + """ SELECT event_id FROM attr
-    WHERE event_name = 'personalid_account_recovered' AND success > 0 AND session < 100000
+    + f""" SELECT event_id FROM attr
+    WHERE event_name = '{C.ACCOUNT_RECOVERED}' AND success > 0 AND session < 100000
       AND user_pseudo_id > 'p2'""",
 )
 def compare(t):
@@ -202,7 +202,8 @@ def like(t):
 @check(
     "not_like",
     ATTRIBUTES
-    + " SELECT event_id, domain FROM attr WHERE NOT (domain LIKE '%qa%commcarehq.org' OR domain LIKE '%test%commcarehq.org')",
+    + f""" SELECT event_id, domain FROM attr
+    WHERE NOT (domain LIKE '{C.NON_PRODUCTION_DOMAINS[0]}' OR domain LIKE '{C.NON_PRODUCTION_DOMAINS[1]}')""",
 )
 def not_like(t):
     rows = _attributes(t)
@@ -214,8 +215,9 @@ def not_like(t):
 @check(
     "contains_ci",
     ATTRIBUTES
-    + """ SELECT event_id, screen FROM attr
-    WHERE screen ILIKE '%PERSONALID%' AND screen NOT ILIKE '%ACTIVITY%'""",
+    + f""" SELECT event_id, screen FROM attr
+    WHERE screen ILIKE '%{C.FUNNEL_SCREEN_WORD.upper()}%'
+      AND screen NOT ILIKE '%{C.NON_FUNNEL_SCREEN_WORD.upper()}%'""",
 )
 def contains_ci(t):
     screen = F.col("screen")
@@ -238,14 +240,14 @@ def is_null(t):
 @check(
     "and_or_not",
     ATTRIBUTES
-    + """ SELECT event_id FROM attr
-    WHERE (success = 1 OR reason = 'play_services_2' OR action = '') AND NOT domain = 'qa1.commcarehq.org'""",
+    + f""" SELECT event_id FROM attr
+    WHERE (success = 1 OR reason = 'play_services_2' OR action = '') AND NOT domain = '{C.QA_DOMAIN}'""",
 )
 def and_or_not(t):
     any_of = (
         (F.col("success") == 1) | (F.col("reason") == C.PHONE_ERRORS[1]) | (F.col("action") == "")
     )
-    return _attributes(t).where(any_of & ~(F.col("domain") == "qa1.commcarehq.org")).select(ID)
+    return _attributes(t).where(any_of & ~(F.col("domain") == C.QA_DOMAIN)).select(ID)
 
 
 @check(
@@ -613,7 +615,8 @@ def str_substr_from(t):
 
 @check(
     "str_contains_ci",
-    ATTRIBUTES + " SELECT event_id, contains(lower(screen), 'personalid') AS in_funnel FROM attr",
+    ATTRIBUTES
+    + f" SELECT event_id, contains(lower(screen), '{C.FUNNEL_SCREEN_WORD.lower()}') AS in_funnel FROM attr",
 )
 def str_contains_ci(t):
     found = contains_ignoring_case(F.col("screen"), C.FUNNEL_SCREEN_WORD)
@@ -622,7 +625,9 @@ def str_contains_ci(t):
 
 @check(
     "str_like",
-    ATTRIBUTES + " SELECT event_id, domain LIKE '%qa%commcarehq.org' AS is_qa, server LIKE 'staging%' AS is_staging FROM attr",
+    ATTRIBUTES
+    + f""" SELECT event_id, domain LIKE '{C.NON_PRODUCTION_DOMAINS[0]}' AS is_qa,
+    server LIKE 'staging%' AS is_staging FROM attr""",
 )
 def str_like(t):
     return _attributes(t).select(

@@ -25,15 +25,13 @@ class Tables:
         """Events as the library is meant to find them: a table with one partition per day.
 
         Spark derives all of it from the test data once per application and writes it to the
-        shared folder; every query then scans that table.  Rebalancing gives each day whole
-        files and splits a day that holds too much for one task.
+        cluster's shared folder; every query then scans that table.  A cluster that names no
+        shared folder derives the events anew in each query.
         """
-        derived = fixtures.events(self.spark, self.sf_dir)
-        path = f"{shared_folder(self.spark)}/events-{sha256(self.sf_dir.encode()).hexdigest()[:12]}"
-        derived.hint("rebalance", "shard").write.mode("overwrite").partitionBy("shard").parquet(path)
-        return read_events(
-            self.spark, path, more_fields=[T.StructField("event_id", T.LongType())]
-        )
+        path = _stored_events(self.spark, self.sf_dir)
+        if path is None:
+            return fixtures.events(self.spark, self.sf_dir)
+        return read_events(self.spark, path, more_fields=[T.StructField("event_id", T.LongType())])
 
     @cached_property
     def sessions(self) -> DataFrame:
@@ -57,11 +55,33 @@ def tables(spark: SparkSession, sf_dir: str) -> Tables:
     return Tables(spark, sf_dir)
 
 
-@lru_cache(maxsize=8)
-def shared_folder(spark: SparkSession) -> str:
-    """This application's place in the cluster's checkpoint folder (a new one if it names none)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="shardtally-")
-    return f"{base.rstrip('/')}/shardtally-{spark.sparkContext.applicationId}"
+_STORED: dict[tuple[str, str], str] = {}
+_LOCAL_FOLDERS: list[tempfile.TemporaryDirectory] = []
+
+
+def _stored_events(spark: SparkSession, sf_dir: str) -> str | None:
+    """Path of the event table, written on the first call of this application."""
+    application = spark.conf.get("spark.app.id")
+    if (application, sf_dir) not in _STORED:
+        folder = _shared_folder(spark)
+        if folder is None:
+            return None
+        path = f"{folder}/{application}-events-{sha256(sf_dir.encode()).hexdigest()[:12]}"
+        derived = fixtures.events(spark, sf_dir, by_day=True)
+        derived.write.mode("overwrite").partitionBy("shard").parquet(path)
+        _STORED[application, sf_dir] = path
+    return _STORED[application, sf_dir]
+
+
+def _shared_folder(spark: SparkSession) -> str | None:
+    """The folder all executors share; on one machine with none set, a temporary one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.conf.get("spark.master").startswith("local"):
+        return None
+    _LOCAL_FOLDERS.append(tempfile.TemporaryDirectory(prefix="shardtally-"))
+    return _LOCAL_FOLDERS[-1].name
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}

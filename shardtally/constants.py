@@ -36,6 +36,13 @@ NON_PRODUCTION_DOMAINS = ("%qa%commcarehq.org", "%test%commcarehq.org")
 STAGING_SERVER = "staging.commcarehq.org"
 PRODUCTION_FLAVOR = "commcare"
 
+# Hosts and a flavor that occur in the fixtures only.
+PRODUCTION_DOMAIN = "main.commcarehq.org"
+QA_DOMAIN = "qa1.commcarehq.org"
+TEST_DOMAIN = "mytest.commcarehq.org"
+PRODUCTION_SERVER = "www.commcarehq.org"
+OTHER_FLAVOR = "lts"
+
 # How users are told apart.
 DEVICE_PREFIX = "commcare_"
 DEMO_USER_KEY = "is_personal_id_demo_user"
@@ -45,6 +52,7 @@ DEMO_USER_KEY = "is_personal_id_demo_user"
 SCREEN_NAME_START = 35
 FUNNEL_SCREEN_WORD = "PersonalId"
 NON_FUNNEL_SCREEN_WORD = "Activity"
+ACTIVITY_SCREEN = "PersonalIdActivity"
 PAGES = {
     "phone_page": "PersonalIdPhoneFragment",
     "biometric_page": "PersonalIdBiometricConfigFragment",

@@ -2,15 +2,15 @@
 
 from datetime import UTC, datetime
 
-from shardtally.constants import DEVICE_PREFIX, PAGES, SCREEN_NAME_START
+from shardtally import constants as C
 from shardtally.functions.times import to_micros
 from shardtally.sources import schema
 
-PACKAGE = "p" * (SCREEN_NAME_START - 1)
+PACKAGE = "p" * (C.SCREEN_NAME_START - 1)
 PRODUCTION = {
-    "app_flavor": "commcare",
-    "cchq_domain": "main.commcarehq.org",
-    "server": "www.commcarehq.org",
+    "app_flavor": C.PRODUCTION_FLAVOR,
+    "cchq_domain": C.PRODUCTION_DOMAIN,
+    "server": C.PRODUCTION_SERVER,
 }
 
 
@@ -54,7 +54,7 @@ def event(name, user="u", when=at(2024, 3, 10), params=(), props=None, **fields)
 
 
 def page(flag, user="u", when=at(2024, 3, 10), session=1, **fields):
-    params = {"ga_session_id": session, "firebase_screen_class": PACKAGE + PAGES[flag]}
+    params = {"ga_session_id": session, "firebase_screen_class": PACKAGE + C.PAGES[flag]}
     return event("screen_view", user, when, params, **fields)
 
 
@@ -64,7 +64,7 @@ def events(spark, rows):
 
 def dimensions(spark, internal_devices=()):
     """Configuration sessions and phones that make the given devices internal."""
-    sessions = [(DEVICE_PREFIX + device, f"++{i}") for i, device in enumerate(internal_devices)]
+    sessions = [(C.DEVICE_PREFIX + device, f"++{i}") for i, device in enumerate(internal_devices)]
     phones = [(str(i),) for i in range(len(sessions))]
     return (
         spark.createDataFrame(sessions + [("other", "+999")], schema.CONFIG_SESSIONS),

@@ -1,6 +1,7 @@
 import pytest
 
 from rows import PRODUCTION, at, dimensions, event, events, page
+from shardtally import constants as C
 from shardtally.functions.times import iso_second, to_micros
 from shardtally.operators import funnel
 from shardtally.plans import reports
@@ -16,11 +17,11 @@ def failure(reason, when=at(2024, 3, 10), user="u", session=1):
 
 def recovery(success, when=at(2024, 3, 10), user="u", session=1):
     params = {"ga_session_id": session, "value": success}
-    return event("personalid_account_recovered", user, when, params)
+    return event(C.ACCOUNT_RECOVERED, user, when, params)
 
 
 def creation(when=at(2024, 3, 10), user="u", session=1):
-    return event("personalid_account_created", user, when, {"ga_session_id": session})
+    return event(C.ACCOUNT_CREATED, user, when, {"ga_session_id": session})
 
 
 def sessions(spark, rows):
@@ -94,15 +95,16 @@ def test_furthest_step(spark, rows, label):
 
 
 def test_only_funnel_screens_count(spark):
-    names = ["PersonalIdActivity", "personalidSomething", "OtherFragment"]
+    any_case = C.FUNNEL_SCREEN_WORD.lower() + "Something"
+    names = [C.ACTIVITY_SCREEN, any_case, "OtherFragment"]
     rows = [
         event("screen_view", name, params={"firebase_screen_class": "p" * 34 + name})
         for name in names
     ]
-    rows.append(event("screen_view", "short", params={"firebase_screen_class": "PersonalIdX"}))
+    rows.append(event("screen_view", "short", params={"firebase_screen_class": C.FUNNEL_SCREEN_WORD}))
     rows.append(event("screen_view", "none"))
     kept = {r.user_pseudo_id for r in funnel.funnel_events(events(spark, rows)).collect()}
-    assert kept == {"personalidSomething"}
+    assert kept == {any_case}
 
 
 def test_copies_of_an_event_are_one(spark):
@@ -118,9 +120,9 @@ def test_copies_that_differ_keep_the_largest_value(spark):
 
 
 def test_event_without_parameters_forms_a_null_session(spark):
-    (row,) = sessions(spark, [event("personalid_account_created")]).collect()
+    (row,) = sessions(spark, [event(C.ACCOUNT_CREATED)]).collect()
     assert (row.ga_session_id, row.outcome) == (None, "Created")
-    summary = funnel.outcome_summary(funnel.outcome_users(sessions(spark, [event("personalid_account_created")])))
+    summary = funnel.outcome_summary(funnel.outcome_users(sessions(spark, [event(C.ACCOUNT_CREATED)])))
     (row,) = summary.collect()
     assert (row.users, row.sessions) == (1, 0)
 

@@ -29,8 +29,7 @@ SF_DIR = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def stored(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("events") / "table")
-    derived = fixtures.events(spark, SF_DIR)
-    derived.hint("rebalance", "shard").write.partitionBy("shard").parquet(path)
+    fixtures.events(spark, SF_DIR, by_day=True).write.partitionBy("shard").parquet(path)
     dims = fixtures.config_sessions(spark, SF_DIR), fixtures.internal_phones(spark, SF_DIR)
     return read_events(spark, path), *dims
 
