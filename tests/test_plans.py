@@ -117,6 +117,12 @@ def test_excluded_ids_are_computed_once(stored, settings):
     assert "ReusedExchange" in final
 
 
+@pytest.mark.parametrize("name", ["funnel_monthly", "funnel_weekly"])
+def test_event_names_reach_the_parquet_reader(stored, name):
+    plan = physical(getattr(reports, name)(*stored, as_of=AS_OF))
+    assert re.search(r"PushedFilters: \[[^\]]*In\(event_name", plan)
+
+
 def test_flags_of_a_session_shuffle_as_one_number(stored):
     plan = physical(reports.funnel_monthly(*stored, as_of=AS_OF))
     assert "bit_or" in plan
