@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shardtally.functions.keyvalue import evaluate_once, largest_first, largest_value
+from shardtally.functions.keyvalue import with_largest_params
 
 
 def flatten_event_params(
@@ -23,15 +23,8 @@ def flatten_event_params(
     The arrays are reduced in place rather than exploded: rows do not multiply, only the
     columns asked for reach the aggregate, and copies of an event merge on the map side.
     """
-    ordered = evaluate_once(
-        events,
-        __integers=largest_first("event_params", "int"),
-        __strings=largest_first("event_params", "string"),
-    )
-    values = {name: largest_value("__integers", key) for name, key in integers.items()}
-    values |= {name: largest_value("__strings", key, "") for name, key in strings.items()}
     return (
-        evaluate_once(ordered, **values)
+        with_largest_params(events, integers, strings)
         .groupBy("user_pseudo_id", "event_name", "event_timestamp")
-        .agg(*[F.max(name).alias(name) for name in values])
+        .agg(*[F.max(name).alias(name) for name in (*integers, *strings)])
     )

@@ -3,7 +3,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from rows import entries
-from shardtally.functions.keyvalue import evaluate_once, largest_first, largest_value, param
+from shardtally.functions.keyvalue import evaluate_once, param, with_largest_params
 from shardtally.sources import schema
 
 
@@ -39,9 +39,10 @@ def test_strict_ignores_repeats_of_other_keys(spark):
     assert column(df, param("a", "k", strict=True)) == ["v"]
 
 
-def largest(df, kind, default=None):
-    ordered = evaluate_once(df, o=largest_first("a", kind))
-    return column(ordered, largest_value("o", "k", default))
+def largest(df, kind, key="k"):
+    wanted = {"value": key}
+    integers, strings = (wanted, {}) if kind == "int" else ({}, wanted)
+    return column(with_largest_params(df, integers, strings, array="a"), "value")
 
 
 def test_largest_value(spark):
@@ -53,18 +54,24 @@ def test_largest_value(spark):
         {},
         None,
     )
-    assert largest(df, "string", "") == ["c", "b", "", "", ""]
-    assert largest(df, "string") == ["c", "b", None, None, None]
+    assert largest(df, "string") == ["c", "b", "", "", ""]
+
+
+def test_repeats_of_other_keys_do_not_matter(spark):
+    df = arrays(spark, [("x", "9"), ("k", "b"), ("x", "1")], [("x", "1"), ("x", "9")])
+    assert largest(df, "string") == ["b", ""]
+    assert largest(df, "string", "x") == ["9", "9"]
 
 
 def test_default_fills_null_only_beside_other_entries(spark):
     df = arrays(spark, {"k": None}, {"k": None, "x": "1"}, [("k", None), ("k", None)])
-    assert largest(df, "string", "") == [None, "", None]
+    assert largest(df, "string") == [None, "", None]
 
 
 def test_largest_int_among_mixed_slots(spark):
     df = arrays(spark, [("k", 3), ("k", 12), ("k", "text")], {"k": "text"})
     assert largest(df, "int") == [12, None]
+    assert largest(df, "string") == ["text", "text"]
 
 
 def test_values_are_evaluated_once_and_inside_codegen(spark, tmp_path):
@@ -76,3 +83,12 @@ def test_values_are_evaluated_once_and_inside_codegen(spark, tmp_path):
     assert physical.count("array_position") == 1
     assert "*(1) Generate inline" in physical
     assert "int_value" not in physical.split("ReadSchema")[1]
+
+
+def test_unused_slot_is_not_read(spark, tmp_path):
+    path = str(tmp_path / "a")
+    arrays(spark, {"k": "v"}).write.parquet(path)
+    df = with_largest_params(spark.read.parquet(path), {}, {"v": "k"}, array="a").select("v")
+    physical = df._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert "int_value" not in physical.split("ReadSchema")[1]
+    assert df.columns == ["v"]
