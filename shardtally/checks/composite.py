@@ -50,7 +50,7 @@ def _march_flags(t: Tables) -> DataFrame:
 
 
 def _march_sessions(t: Tables) -> DataFrame:
-    return funnel.session_rollup(_march_flags(t))
+    return funnel.with_outcome(funnel.session_rollup(_march_flags(t)))
 
 
 def _paths(t: Tables) -> DataFrame:

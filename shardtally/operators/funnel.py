@@ -83,7 +83,9 @@ def funnel_step_flags(events: DataFrame, carry: Sequence[str] = ()) -> DataFrame
     )
 
 
-def compare_windows(events: DataFrame, as_of: datetime, days: int = C.FUNNEL_WINDOW_DAYS):
+def compare_windows(
+    events: DataFrame, as_of: datetime, days: int = C.FUNNEL_WINDOW_DAYS
+) -> DataFrame:
     """Label events: ``recent_data`` is 1 if less than ``days + 1`` times 24 hours have passed."""
     border = to_micros(as_of) - (days + 1) * DAY_MICROS
     return events.withColumn("recent_data", _flag(F.col("event_timestamp") > border))
@@ -93,7 +95,7 @@ def compare_windows(events: DataFrame, as_of: datetime, days: int = C.FUNNEL_WIN
 
 
 def session_rollup(flags: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """One row per user and session (and ``by``): the steps seen, wrong codes, times, outcome."""
+    """One row per user and session (and ``by``): steps seen, wrong codes, times, final state."""
     bits = [F.shiftleft(F.col(step), bit) for bit, step in enumerate(STEPS)]
     sessions = flags.groupBy("user_pseudo_id", *by, "ga_session_id").agg(
         F.bit_or(reduce(Column.bitwiseOR, bits)).alias("steps"),
@@ -105,8 +107,12 @@ def session_rollup(flags: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         F.max("created_second").alias("last_created"),
         F.max("wrong_backup_code_second").alias("last_wrong_backup_code"),
     )
-    sessions = sessions.withColumn("final_state", final_state())
-    return unpack_steps(sessions).withColumn("outcome", furthest_step())
+    return sessions.withColumn("final_state", final_state())
+
+
+def with_outcome(df: DataFrame) -> DataFrame:
+    """Sessions or paths with a 0/1 column per step and their outcome."""
+    return unpack_steps(df).withColumn("outcome", furthest_step())
 
 
 def unpack_steps(df: DataFrame) -> DataFrame:
@@ -215,11 +221,7 @@ def path_rollup(per_user: DataFrame) -> DataFrame:
         F.sum(F.when(recent, sessions).otherwise(0)).alias("recent_sessions"),
         *[single_user_value(user_rows, F.max(name)).alias(name) for name in LAST_TIMES],
     )
-    return (
-        unpack_steps(paths)
-        .withColumn("outcome", furthest_step())
-        .withColumn("had_errors", _flag(F.greatest(*ERRORS) > 0))
-    )
+    return with_outcome(paths).withColumn("had_errors", _flag(F.greatest(*ERRORS) > 0))
 
 
 def single_user_value(rows: Column, value: Column) -> Column:

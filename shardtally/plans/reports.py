@@ -30,7 +30,8 @@ def funnel_monthly(
     if excluded is None:
         excluded = audience.internal_or_flagged_users(events, sessions, phones, window)
     started = in_window(events, window).where(audience.has_flavor())
-    outcomes = funnel.session_rollup(funnel.funnel_step_flags(funnel.funnel_events(started)))
+    rolled_up = funnel.session_rollup(funnel.funnel_step_flags(funnel.funnel_events(started)))
+    outcomes = funnel.with_outcome(rolled_up)
     per_user = audience.exclude_users(funnel.outcome_users(outcomes), excluded)
     row = funnel.pivot_outcomes(funnel.outcome_summary(per_user))
     return _with_dates(row, *C.OUTCOME_COLUMNS, dates_first=True)
@@ -52,8 +53,8 @@ def funnel_weekly(
     started = in_window(events, window).where(audience.has_flavor())
     labelled = funnel.compare_windows(funnel.funnel_events(started), as_of, window_days)
     flags = funnel.funnel_step_flags(labelled, carry=["recent_data"])
-    outcomes = funnel.session_rollup(flags, by=["recent_data"])
-    per_user = audience.exclude_users(funnel.path_users(outcomes), excluded)
+    rolled_up = funnel.session_rollup(flags, by=["recent_data"])
+    per_user = audience.exclude_users(funnel.path_users(rolled_up), excluded)
     totals = funnel.outcome_totals(funnel.path_rollup(per_user))
     counts = ("old_users", "recent_users", "old_sessions", "recent_sessions")
     return _with_dates(totals, "outcome", *counts).orderBy("outcome")

@@ -26,7 +26,7 @@ def creation(when=at(2024, 3, 10), user="u", session=1):
 
 def sessions(spark, rows):
     flags = funnel.funnel_step_flags(funnel.funnel_events(events(spark, rows)))
-    return funnel.session_rollup(flags)
+    return funnel.with_outcome(funnel.session_rollup(flags))
 
 
 def outcome(spark, *rows):
