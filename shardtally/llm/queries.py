@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardtally.llm import substrings
+from shardtally.llm import nearcopies, substrings
 from shardtally.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,3 +23,8 @@ def query(build):
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substrings.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cut.select("_row.doc_id", "_cut.n_words", "_cut.n_removed", F.sha2(F.col("_cut.kept"), 256).alias("kept_sha256"))
+
+
+@query
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearcopies.near_copies(table(spark, sf_dir, "documents"), size=2)
