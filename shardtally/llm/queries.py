@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardtally.llm import nearcopies, substrings
+from shardtally.llm import mergereplay, nearcopies, substrings, tokencounts
 from shardtally.llm.common import table
 
+RANKS = "byte_bpe_50k.tiktoken"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -28,3 +31,15 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearcopies.near_copies(table(spark, sf_dir, "documents"), size=2)
+
+
+@query
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencounts.totals(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+
+
+@query
+def op10_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = mergereplay.encode_digests(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    return coded.select("_row.doc_id", "_code.*")
