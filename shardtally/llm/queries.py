@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardtally.llm import mergereplay, nearcopies, substrings, tokencounts
+from shardtally.llm import anntree, archives, exacttopk, mergereplay, nearcopies, substrings, tokencounts
 from shardtally.llm.common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -43,3 +43,18 @@ def op10_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = mergereplay.encode_digests(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
     return coded.select("_row.doc_id", "_code.*")
+
+
+@query
+def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exacttopk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+@query
+def op4_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archives.through_warc(table(spark, sf_dir, "pages"))
+
+
+@query
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return anntree.nearest(table(spark, sf_dir, "embeddings"))
