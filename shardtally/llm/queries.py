@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardtally.llm import anntree, archives, exacttopk, mergereplay, nearcopies, substrings, tokencounts
+from shardtally.llm import anntree, archives, exacttopk, mergereplay, mixing, nearcopies, substrings, tokencounts
 from shardtally.llm.common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -58,3 +58,8 @@ def op4_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anntree.nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
