@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardtally.llm import anntree, archives, exacttopk, mergereplay, mixing, nearcopies, substrings, tokencounts
+from shardtally.llm import anntree, archives, exacttopk, mergereplay, mixing, nearcopies, quality, substrings, tokencounts
 from shardtally.llm.common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -63,3 +63,11 @@ def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    rows = quality.scored(docs, table(spark, sf_dir, "labels"))
+    predicted = (F.col("_score") >= quality.KEEP_AT).cast("int").alias("predicted")
+    return rows.select("_row.doc_id", quality.held_out("_row.doc_id").alias("held_out"), F.col("_score").alias("score"), predicted)
