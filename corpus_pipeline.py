@@ -1,21 +1,76 @@
-"""The corpus pipeline: documents to a tokenised mixture, stage by stage."""
+"""The corpus pipeline: documents to a tokenised mixture, stage by stage.
+
+Every stage works on all rows that the one before kept, and all but the last return the columns of
+documents. ``run`` writes each stage to the shared folder and reads it again.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shardtally.llm import queries
+from shardtally.llm import mergereplay, mixing, nearcopies, quality, substrings
+from shardtally.llm.common import row_key, table
+from shardtally.llm.queries import RANKS
 from shardtally.sources.workspace import stored
 
-STAGES: list = []
 
-#: The classifier and the tokeniser cannot be written in SQL; tests hold run() against brute force.
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, learned from the given documents' labels, does not reject."""
+    rows = quality.scored(docs, table(spark, sf_dir, "labels"))
+    return rows.where(F.col("_score") >= quality.KEEP_AT).select("_row.*")
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies (five-word shingles, similarity 0.8): the smallest doc_id.
+
+    Repeated rows are one row. A group of null ids alone keeps each of its texts once.
+    """
+    kept = nearcopies.grouped(docs).where("kept").select("_k1", "_k2").distinct()
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *row_key())
+    return rows.join(kept, ["_k1", "_k2"]).dropDuplicates(["_k1", "_k2"]).select("_row.*")
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the windows of 35 words that repeat; untouched texts stay as they are, emptied ones go."""
+    rows = substrings.remove_repeats(docs)
+    text = F.when(F.col("_cut.n_removed") > 0, F.col("_cut.kept")).otherwise(F.col("_row.text"))
+    rows = rows.where("_cut.n_removed = 0 or _cut.n_removed < _cut.n_words").withColumn("_text", text)
+    row = F.col("_row").withField("text", F.col("_text"))
+    if "n_chars" in docs.columns:
+        row = row.withField("n_chars", F.when(F.col("_cut.n_removed") > 0, F.length("_text").cast("long")).otherwise(F.col("_row.n_chars")))
+    return rows.select(row.alias("_row")).select("_row.*")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mixture takes it."""
+    return mixing.mixed_documents(docs)
+
+
+def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, source, n_tokens, ids: the mixture as token ids, which decode to the very text."""
+    rows = mergereplay.encode_texts(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    same = F.col("_code.decoded") == F.encode(F.coalesce("_row.text", F.lit("")), "utf-8")
+    ids = F.when(same, F.col("_code.ids")).otherwise(F.raise_error(F.lit("the ids do not decode to the text")).cast("string"))
+    return rows.select("_row.doc_id", "_row.source", "_code.n_tokens", ids.alias("ids"))
+
+
+STAGES = [
+    ("quality", keep_quality),
+    ("near_dedup", drop_near_copies),
+    ("substring_dedup", cut_repeats),
+    ("mix", mix_sources),
+    ("tokenise", tokenise),
+]
+
+#: The classifier and the tokeniser cannot be written in SQL; a test holds run() against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages one after the other, each written to the shared folder and read again."""
-    docs = queries.table(spark, sf_dir, "documents")
+    """The stages one after the other, over the whole documents table."""
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), name)
     return docs

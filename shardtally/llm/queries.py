@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardtally.llm import anntree, archives, exacttopk, mergereplay, mixing, nearcopies, quality, substrings, tokencounts
+from shardtally.llm import anntree, archives, exacttopk, licences, mergereplay, mixing, nearcopies, quality, substrings, tokencounts
 from shardtally.llm.common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -71,3 +71,14 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.scored(docs, table(spark, sf_dir, "labels"))
     predicted = (F.col("_score") >= quality.KEEP_AT).cast("int").alias("predicted")
     return rows.select("_row.doc_id", quality.held_out("_row.doc_id").alias("held_out"), F.col("_score").alias("score"), predicted)
+
+
+def licence_files(docs: DataFrame) -> DataFrame:
+    """Documents as files of a tree: the source's folder, two levels of folders by number, a file per document."""
+    path = F.concat_ws("/", "source", F.expr("doc_id div 1000"), F.expr("doc_id div 20"), "doc_id")
+    return docs.select(F.col("doc_id").alias("file_id"), path.alias("path"), "text")
+
+
+@query
+def op1_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(licence_files(table(spark, sf_dir, "documents")))
