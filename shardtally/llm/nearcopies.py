@@ -191,16 +191,25 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
 
 
 def _against_outsiders(size: int, percent: int):
-    """Links between the outsiders of a block and its members; rows come sorted, outsiders first."""
+    """Links between the outsiders of a block and its members; rows come sorted, outsiders first.
+
+    Of all links found, only those that join components not yet joined within the group are passed on.
+    """
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        group, outsiders, index = None, [], {}
+        group, outsiders, index, joined = None, [], {}, {}
+
+        def top(x: int) -> int:
+            while (up := joined.get(x, x)) != x:
+                x = up
+            return x
+
         for batch in batches:
             left, right = [], []
             columns = (batch[c].tolist() for c in ("key", "block", "chunk", "is_member", "node", "root", "text"))
             for key, block, chunk, is_member, node, root, text in zip(*columns):
                 if group != (key, block, chunk):
-                    group, outsiders, index = (key, block, chunk), [], {}
+                    group, outsiders, index, joined = (key, block, chunk), [], {}, {}
                 own = shingles(text, size)
                 if not is_member:
                     for shingle in own:
@@ -210,7 +219,8 @@ def _against_outsiders(size: int, percent: int):
                 hits = Counter(chain.from_iterable(index[x] for x in own if x in index))
                 for at, both in hits.items():
                     other, other_root, n = outsiders[at]
-                    if other_root != root and 100 * both >= percent * (len(own) + n - both):
+                    if other_root != root and 100 * both >= percent * (len(own) + n - both) and (a := top(root)) != (b := top(other_root)):
+                        joined[max(a, b)] = min(a, b)
                         left.append(node)
                         right.append(other)
             yield pd.DataFrame({"a": left, "b": right}, dtype="int64")
@@ -261,6 +271,11 @@ def near_copies(docs: DataFrame, size: int = 5, percent: int = PERCENT) -> DataF
     are never the smallest: a group of null ids alone has a null component and keeps its rows.
     Repeated rows get equal results. Other columns are not looked at; an empty table gives an empty result.
     """
+    return grouped(docs, size, percent).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def grouped(docs: DataFrame, size: int = 5, percent: int = PERCENT) -> DataFrame:
+    """``near_copies`` with the row keys ``_k1, _k2`` (see ``row_key``)."""
     keyed = docs.select(F.col("doc_id").cast("long").alias("_id"), *row_key(), F.col("text").alias("_text"))
     schema = "doc_id long, _k1 long, _k2 long, n long, node long, bands array<long>"
     sketch = stored(keyed.mapInPandas(_sketches(size), schema), "sketch")
@@ -287,6 +302,7 @@ def near_copies(docs: DataFrame, size: int = 5, percent: int = PERCENT) -> DataF
     groups = in_groups.join(least, "root").select("node", "component_id")
     per_class = classes.select("node", "smallest").join(groups, "node", "left")
     per_class = per_class.select("node", F.coalesce("component_id", "smallest").alias("component_id"))
-    result = full.select("doc_id", "n", "node").join(per_class, "node", "left").select("doc_id", "n", "component_id")
-    result = result.union(sketch.where("n = 0").select("doc_id", "n", "doc_id"))
-    return result.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    columns = ["doc_id", "_k1", "_k2", F.col("n").alias("n_shingles")]
+    result = full.join(per_class, "node", "left").select(*columns, "component_id")
+    result = result.union(sketch.where("n = 0").select(*columns, "doc_id"))
+    return result.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
