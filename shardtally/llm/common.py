@@ -18,8 +18,14 @@ MASK = (1 << 64) - 1
 _shipped: set[str] = set()
 
 
+#: Rows that go to a Python worker at once, where the session has not set it: whole texts are long.
+BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
+
+
 def ship(spark: SparkSession) -> None:
     """Makes the package importable in the Python workers of this application."""
+    if int(spark.conf.get(BATCH_SETTING)) == 10_000:  # Spark's default
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return

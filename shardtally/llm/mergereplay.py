@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 12_000_000
+CHUNK_BYTES = 4_000_000
 
 
 @lru_cache(maxsize=4)

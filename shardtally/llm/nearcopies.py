@@ -34,7 +34,7 @@ BANDS, ROWS = 32, 4
 SLOTS = BANDS * ROWS
 SHINGLE = 2
 PERCENT = 80
-CHUNK_BYTES = 6_000_000
+CHUNK_BYTES = 4_000_000
 ELEMENTS = 200_000
 OUTSIDERS, MEMBERS = 128, 256
 _GOLD = np.uint64(0x9E3779B97F4A7C15)

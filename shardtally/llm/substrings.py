@@ -34,7 +34,7 @@ WIDTH = 35
 MER = 4
 HOT = 1000
 MAX_HOT = 2_000_000
-CHUNK_WORDS = 1_000_000
+CHUNK_WORDS = 600_000
 BUCKET_WORDS = 300_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MUL = np.uint64(0xBF58476D1CE4E5B9)
