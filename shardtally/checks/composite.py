@@ -134,11 +134,11 @@ def flagged_users(t):
 @check(
     "exclude_users",
     f""" SELECT event_id, user_pseudo_id FROM ev
-    WHERE {O.MARCH} AND {O.not_demo(O.MARCH)} AND {O.not_internal(O.MARCH)}""",
+    WHERE {O.not_demo(O.MARCH)} AND {O.not_internal(O.MARCH)}""",
 )
 def exclude_users(t):
     ids = audience.internal_or_flagged_users(*t.all, LAST_MONTH)
-    return audience.exclude_users(_march(t).select("event_id", "user_pseudo_id"), ids)
+    return audience.exclude_users(t.events.select("event_id", "user_pseudo_id"), ids)
 
 
 @check("production_events", f" SELECT event_id, user_pseudo_id FROM ev WHERE {O.IS_PRODUCTION}")
@@ -151,11 +151,11 @@ def production_events(t):
 
 @check(
     "flatten_event_params",
-    f""", starting AS (SELECT * FROM ev WHERE {O.MARCH}), {O.FLAT.strip()} SELECT * FROM flat""",
+    f""", starting AS (SELECT * FROM ev), {O.FLAT.strip()} SELECT * FROM flat""",
 )
 def flatten_event_params(t):
     return flatten.flatten_event_params(
-        _march(t),
+        t.events,
         integers={
             "ga_session_id": "ga_session_id",
             "ga_session_number": "ga_session_number",

@@ -21,21 +21,25 @@ DUCK_TIME = "make_timestamp(event_timestamp)"
 DUCK_DAY = "CAST(make_timestamp(event_timestamp) AS DATE)"
 
 
-def _attributes(t: Tables) -> DataFrame:
-    """Events with a few attributes as columns."""
-    return evaluate_once(
-        t.events,
-        device_id=prop("device_id"),
-        domain=prop("cchq_domain"),
-        server=prop("server"),
-        flavor=prop("app_flavor"),
-        cid=prop("user_cid"),
-        screen=param("event_params", "firebase_screen_class"),
-        reason=param("event_params", "reason"),
-        action=param("event_params", "action"),
-        success=param("event_params", "value", "int"),
-        session=param("event_params", "ga_session_id", "int"),
-    )
+def _lookup(name: str):
+    """The attribute ``name`` as a column."""
+    return {
+        "device_id": prop("device_id"),
+        "domain": prop("cchq_domain"),
+        "server": prop("server"),
+        "flavor": prop("app_flavor"),
+        "cid": prop("user_cid"),
+        "screen": param("event_params", "firebase_screen_class"),
+        "reason": param("event_params", "reason"),
+        "action": param("event_params", "action"),
+        "success": param("event_params", "value", "int"),
+        "session": param("event_params", "ga_session_id", "int"),
+    }[name]
+
+
+def _attributes(t: Tables, *names: str) -> DataFrame:
+    """Events with the named attributes as columns (only those: unused ones would still be evaluated)."""
+    return evaluate_once(t.events, **{name: _lookup(name) for name in names}) if names else t.events
 
 
 ATTRIBUTES = f""",
@@ -48,8 +52,8 @@ attr AS (
 )"""
 
 
-def _monthly(t: Tables) -> DataFrame:
-    return _attributes(t).withColumn("month", times.event_month())
+def _monthly(t: Tables, *names: str) -> DataFrame:
+    return _attributes(t, *names).withColumn("month", times.event_month())
 
 
 MONTHLY = ATTRIBUTES + f""",
@@ -154,7 +158,7 @@ def nested_field(t):
 )
 def compare(t):
     return (
-        _attributes(t)
+        _attributes(t, "success", "session")
         .where(F.col("event_name") == C.ACCOUNT_RECOVERED)
         .where((F.col("success") > 0) & (F.col("session") < 100_000))
         .where(F.col("user_pseudo_id") > "p2")
@@ -206,7 +210,7 @@ def like(t):
     WHERE NOT (domain LIKE '{C.NON_PRODUCTION_DOMAINS[0]}' OR domain LIKE '{C.NON_PRODUCTION_DOMAINS[1]}')""",
 )
 def not_like(t):
-    rows = _attributes(t)
+    rows = _attributes(t, "domain")
     for pattern in C.NON_PRODUCTION_DOMAINS:
         rows = rows.where(~F.col("domain").like(pattern))
     return rows.select(ID, "domain")
@@ -222,7 +226,7 @@ def not_like(t):
 def contains_ci(t):
     screen = F.col("screen")
     return (
-        _attributes(t)
+        _attributes(t, "screen")
         .where(contains_ignoring_case(screen, C.FUNNEL_SCREEN_WORD))
         .where(~contains_ignoring_case(screen, C.NON_FUNNEL_SCREEN_WORD))
         .select(ID, "screen")
@@ -234,7 +238,7 @@ def contains_ci(t):
     ATTRIBUTES + " SELECT event_id FROM attr WHERE user_id IS NULL AND cid IS NOT NULL",
 )
 def is_null(t):
-    return _attributes(t).where(F.col("user_id").isNull() & F.col("cid").isNotNull()).select(ID)
+    return _attributes(t, "cid").where(F.col("user_id").isNull() & F.col("cid").isNotNull()).select(ID)
 
 
 @check(
@@ -247,7 +251,7 @@ def and_or_not(t):
     any_of = (
         (F.col("success") == 1) | (F.col("reason") == C.PHONE_ERRORS[1]) | (F.col("action") == "")
     )
-    return _attributes(t).where(any_of & ~(F.col("domain") == C.QA_DOMAIN)).select(ID)
+    return _attributes(t, "domain", "reason", "action", "success").where(any_of & ~(F.col("domain") == C.QA_DOMAIN)).select(ID)
 
 
 @check(
@@ -269,7 +273,7 @@ def scalar_subquery_filter(t):
 )
 def case_when(t):
     success, reason = F.col("success"), F.col("reason")
-    return _attributes(t).select(
+    return _attributes(t, "reason", "success").select(
         ID,
         F.when(success == 1, "ok").when(success == 0, "wrong").alias("label"),
         F.when(reason.startswith("min"), "biometric")
@@ -284,7 +288,7 @@ def case_when(t):
     ATTRIBUTES + " SELECT event_id, if(success = 1, session, NULL) AS session_if, if(action = 'ccc_message', action, '') AS action_if FROM attr",
 )
 def if_expr(t):
-    return _attributes(t).select(
+    return _attributes(t, "action", "success", "session").select(
         ID,
         F.when(F.col("success") == 1, F.col("session")).alias("session_if"),
         F.when(F.col("action") == C.MESSAGE_ACTION, F.col("action"))
@@ -299,7 +303,7 @@ def if_expr(t):
 )
 def coalesce(t):
     cut = F.substr("screen", F.lit(C.SCREEN_NAME_START))
-    return _attributes(t).select(ID, F.coalesce(cut, F.lit("")).alias("screen_name"))
+    return _attributes(t, "screen").select(ID, F.coalesce(cut, F.lit("")).alias("screen_name"))
 
 
 # --- joins --------------------------------------------------------------------------------
@@ -333,10 +337,10 @@ def join_inner_subquery(t):
     SELECT a.event_month, a.views, b.messages, c.failures
     FROM (SELECT event_month, count(*) AS views FROM m WHERE event_name = 'screen_view' GROUP BY 1) a
     LEFT JOIN (SELECT event_month, count(*) AS messages FROM m
-               WHERE event_name = 'personal_id_message_sent' AND shard < '20240310' GROUP BY 1) b
+               WHERE event_name = 'personal_id_message_sent' GROUP BY 1) b
       ON b.event_month = a.event_month
     LEFT JOIN (SELECT event_month, count(*) AS failures FROM m
-               WHERE event_name = 'personal_id_configuration_failure' AND shard > '20240210' GROUP BY 1) c
+               WHERE event_name = 'personal_id_configuration_failure' GROUP BY 1) c
       ON c.event_month = a.event_month""",
 )
 def join_left_chain(t):
@@ -347,8 +351,8 @@ def join_left_chain(t):
         return matching.groupBy("event_month").agg(F.count("*").alias(label))
 
     views = monthly(named, C.SCREEN_VIEW, "views")
-    messages = monthly(named.where("shard < '20240310'"), C.MESSAGE_SENT, "messages")
-    failures = monthly(named.where("shard > '20240210'"), C.CONFIGURATION_FAILURE, "failures")
+    messages = monthly(named, C.MESSAGE_SENT, "messages")
+    failures = monthly(named, C.CONFIGURATION_FAILURE, "failures")
     return views.join(messages, "event_month", "left").join(failures, "event_month", "left")
 
 
@@ -416,7 +420,7 @@ def agg_count_star(t):
 )
 def agg_count_col(t):
     return (
-        _monthly(t).groupBy("month").agg(F.count("cid").alias("cids"), F.count("user_id").alias("named"))
+        _monthly(t, "cid").groupBy("month").agg(F.count("cid").alias("cids"), F.count("user_id").alias("named"))
     )
 
 
@@ -445,7 +449,7 @@ def agg_count_distinct(t):
 def agg_countif(t):
     action = F.col("action")
     return (
-        _monthly(t)
+        _monthly(t, "action")
         .groupBy("month")
         .agg(
             F.count_if(action == C.MESSAGE_ACTION).alias("messages"),
@@ -461,7 +465,7 @@ def agg_countif(t):
 )
 def agg_sum(t):
     return (
-        _monthly(t)
+        _monthly(t, "success")
         .groupBy("month")
         .agg(
             F.sum("success").alias("recovered"),
@@ -478,7 +482,7 @@ def agg_sum(t):
 )
 def agg_min_max(t):
     return (
-        _monthly(t)
+        _monthly(t, "reason", "session")
         .groupBy("month")
         .agg(
             F.min("reason").alias("first_reason"),
@@ -530,7 +534,7 @@ def agg_expr_over_aggs(t):
         .when(F.max(success).isNull(), "never")
         .otherwise("rare")
     )
-    return _attributes(t).groupBy("user_pseudo_id").agg(label.alias("label"))
+    return _attributes(t, "success").groupBy("user_pseudo_id").agg(label.alias("label"))
 
 
 @check(
@@ -540,13 +544,13 @@ def agg_expr_over_aggs(t):
     FROM attr GROUP BY flavor, success""",
 )
 def agg_expr_of_keys(t):
-    counts = _attributes(t).groupBy("flavor", "success").agg(F.count("*").alias("n"))
+    counts = _attributes(t, "flavor", "success").groupBy("flavor", "success").agg(F.count("*").alias("n"))
     return counts.withColumn("ok", F.when(F.col("success") > 0, 1).otherwise(0).cast("long"))
 
 
 @check("distinct", ATTRIBUTES + " SELECT DISTINCT user_pseudo_id, device_id FROM attr")
 def distinct(t):
-    return _attributes(t).select("user_pseudo_id", "device_id").distinct()
+    return _attributes(t, "device_id").select("user_pseudo_id", "device_id").distinct()
 
 
 # --- sort and union -----------------------------------------------------------------------
@@ -597,7 +601,7 @@ def str_ltrim_chars(t):
     + f" SELECT event_id, '{C.DEVICE_PREFIX}' || device_id AS device_key, 'cid:' || cid AS cid_key FROM attr",
 )
 def str_concat(t):
-    return _attributes(t).select(
+    return _attributes(t, "device_id", "cid").select(
         ID,
         F.concat(F.lit(C.DEVICE_PREFIX), "device_id").alias("device_key"),
         F.concat(F.lit("cid:"), "cid").alias("cid_key"),
@@ -610,7 +614,7 @@ def str_concat(t):
 )
 def str_substr_from(t):
     cut = F.substr("screen", F.lit(C.SCREEN_NAME_START))
-    return _attributes(t).select(ID, cut.alias("screen_name"))
+    return _attributes(t, "screen").select(ID, cut.alias("screen_name"))
 
 
 @check(
@@ -620,7 +624,7 @@ def str_substr_from(t):
 )
 def str_contains_ci(t):
     found = contains_ignoring_case(F.col("screen"), C.FUNNEL_SCREEN_WORD)
-    return _attributes(t).select(ID, found.alias("in_funnel"))
+    return _attributes(t, "screen").select(ID, found.alias("in_funnel"))
 
 
 @check(
@@ -630,7 +634,7 @@ def str_contains_ci(t):
     server LIKE 'staging%' AS is_staging FROM attr""",
 )
 def str_like(t):
-    return _attributes(t).select(
+    return _attributes(t, "domain", "server").select(
         ID,
         F.col("domain").like(C.NON_PRODUCTION_DOMAINS[0]).alias("is_qa"),
         F.col("server").like("staging%").alias("is_staging"),
@@ -768,7 +772,7 @@ def dt_diff_days(t):
 )
 def math_safe_divide(t):
     per = F.try_divide(F.count("*"), F.count("success"))
-    return _attributes(t).groupBy("user_pseudo_id").agg(per.alias("per_recovery"))
+    return _attributes(t, "success").groupBy("user_pseudo_id").agg(per.alias("per_recovery"))
 
 
 @check(
@@ -779,7 +783,7 @@ def math_safe_divide(t):
 )
 def math_round(t):
     return (
-        _monthly(t)
+        _monthly(t, "success")
         .groupBy("month")
         .agg(
             percentage(F.count("success"), F.count("*")).alias("share"),
@@ -794,7 +798,7 @@ def math_round(t):
 )
 def math_arith(t):
     session = F.col("session")
-    return _attributes(t).select(ID, (session * 2 + 1).alias("twice"), (session - 30).alias("less"))
+    return _attributes(t, "session").select(ID, (session * 2 + 1).alias("twice"), (session - 30).alias("less"))
 
 
 @check(

@@ -100,6 +100,7 @@ WRONG_CODES_ALLOWED = 2
 INTRADAY_PREFIX = "events_intraday_"
 FINAL_PREFIX = "events_"
 SHARD_TABLE_PATTERN = "^events(_intraday)?_[0-9]{8}$"
+SHARD_PATTERN = "^[0-9]{8}$"
 SHARD_DAY_PATTERN = "([0-9]{8})"
 RETENTION_DAYS = 180
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime, timedelta
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,6 @@ from shardtally import constants as C
 from shardtally.functions.text import extract
 from shardtally.functions.times import as_utc
 from shardtally.functions.windows import shard_name
-from shardtally.sources.events import shard_tables
 
 
 def shard_day(table_name: Column | str) -> Column:
@@ -32,9 +32,29 @@ def expired_shards(
 def kept_events(
     events: DataFrame, as_of: datetime | None = None, days: int = C.RETENTION_DAYS
 ) -> DataFrame:
-    """Events of shards that have not expired (prunes the expired partitions)."""
+    """Events of shards that have not expired (prunes the expired partitions).
+
+    Only a shard that is a day can expire; rows whose shard is NULL or anything else stay.
+    """
     cutoff = as_utc(as_of).date() - timedelta(days=days)
-    return events.where(F.col("shard") >= shard_name(cutoff))
+    shard = F.col("shard")
+    return events.where(
+        shard.isNull() | ~shard.rlike(C.SHARD_PATTERN) | (shard >= shard_name(cutoff))
+    )
+
+
+def _partitions(spark: SparkSession, table: str, prefix: str) -> DataFrame:
+    """``partition`` (as Spark lists it) and the ``table_name`` of its shard."""
+    listed = spark.sql(f"SHOW PARTITIONS {table}")
+    day = F.regexp_extract("partition", "(?:^|/)shard=([^/]*)", 1)
+    return listed.select("partition", F.concat(F.lit(prefix), day).alias("table_name"))
+
+
+def _spec(partition: str) -> str:
+    """A listed partition (``shard=20240301/kind=a%2Fb``) as the specification that names it in full."""
+    pairs = (part.partition("=") for part in partition.split("/"))
+    values = ((name, unquote(value).replace("\\", "\\\\").replace("'", "\\'")) for name, _, value in pairs)
+    return "PARTITION (" + ", ".join(f"`{name}`='{value}'" for name, value in values) + ")"
 
 
 def apply_retention(
@@ -45,14 +65,22 @@ def apply_retention(
     prefix: str = C.INTRADAY_PREFIX,
     dry_run: bool = True,
 ) -> list[str]:
-    """Drop the expired partitions of a table partitioned by ``shard``.
+    """Drop the expired partitions of a table partitioned by ``shard``, alone or among other columns.
 
-    Works on the partition list only: one name per day comes to the driver, and one
-    statement drops them all.  Returns the names; with ``dry_run`` nothing is dropped.
+    Works on the partition list only: the expired partitions come to the driver, and one
+    statement drops them all.  Returns each shard's name once; with ``dry_run`` nothing is
+    dropped.  Raises if an expired partition is left afterwards.  ``prefix`` says which of the
+    two families (``C.INTRADAY_PREFIX``, ``C.FINAL_PREFIX``) the table holds: one table, one family.
     """
-    names = expired_shards(shard_tables(spark, table, prefix), as_of, days)
-    expired = sorted(row.table_name for row in names.collect())
-    if expired and not dry_run:
-        parts = ", ".join(f"PARTITION (shard='{name.removeprefix(prefix)}')" for name in expired)
+
+    def expired() -> dict[str, str]:
+        rows = expired_shards(_partitions(spark, table, prefix), as_of, days)
+        return {row.partition: row.table_name for row in rows.collect()}
+
+    found = expired()
+    if found and not dry_run:
+        parts = ", ".join(_spec(partition) for partition in sorted(found))
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {parts}")
-    return expired
+        if left := expired():
+            raise RuntimeError(f"expired partitions of {table} are left: {sorted(left)}")
+    return sorted(set(found.values()))

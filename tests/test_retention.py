@@ -1,6 +1,7 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from rows import at, event, events
 from shardtally.operators import retention
@@ -48,6 +49,28 @@ def test_kept_and_expired_events_are_all_events(spark):
     assert kept == {"20240304", "20240801"}
 
 
+def test_only_days_can_expire(spark):
+    odd = [None, "2024", "intraday", "202403011"]
+    df = events(spark, [event("e") | {"shard": shard} for shard in [*DAYS, *odd]])
+    kept = sorted((r.shard for r in retention.kept_events(df, AS_OF).collect()), key=str)
+    assert kept == sorted(["20240304", "20240801", *odd], key=str)
+
+
+def test_two_level_table(spark):
+    df = events(spark, [event("e") | {"shard": day} for day in DAYS])
+    kinds = df.withColumn("kind", F.explode(F.array(F.lit("a"), F.lit("it's b/c"))))
+    kinds.write.mode("overwrite").partitionBy("shard", "kind").format("parquet").saveAsTable("two_level")
+    try:
+        for prefix in ("events_intraday_", "events_"):
+            expired = [f"{prefix}20240302", f"{prefix}20240303"]
+            assert retention.apply_retention(spark, "two_level", AS_OF, prefix=prefix) == expired
+        assert retention.apply_retention(spark, "two_level", AS_OF, dry_run=False) == ["events_intraday_20240302", "events_intraday_20240303"]
+        left = spark.table("two_level").groupBy("shard").count().collect()
+        assert {r.shard: r["count"] for r in left} == {"20240304": 2, "20240801": 2}
+    finally:
+        spark.sql("DROP TABLE IF EXISTS two_level")
+
+
 def test_apply_retention_drops_partitions_only_when_told(spark):
     df = events(spark, [event("e") | {"shard": day} for day in DAYS])
     df.write.mode("overwrite").partitionBy("shard").format("parquet").saveAsTable("app_events")
