@@ -187,7 +187,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine |
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out())
     known = known.groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("double").alias("label"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = _own(docs).join(known, "doc_id").mapInPandas(_rows_of, "places array<long>, weights array<double>, stats array<double>, label double")
+    # at most ``sample`` rows of two numbers, so the texts need not be shuffled to meet them
+    rows = _own(docs).join(F.broadcast(known) if sample <= 100_000 else known, "doc_id").mapInPandas(_rows_of, "places array<long>, weights array<double>, stats array<double>, label double")
     places, weights, stats, label = [], [], [], []
     for row in rows.toLocalIterator(prefetchPartitions=True):
         places.append(np.array(row.places, np.int32))
