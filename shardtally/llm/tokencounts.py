@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shardtally.llm.mergereplay import _ranks
+from shardtally.sources.workspace import stored
 
 STEP = 1024
 
@@ -75,4 +76,4 @@ def by_limit(counts: DataFrame) -> DataFrame:
 def totals(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """``by_limit`` of the whole texts of ``docs`` (null and empty texts have length 0; other columns are not looked at)."""
     lengths = docs.select(encoded_length(path, pattern)("text").alias("length"))
-    return by_limit(histogram(lengths))
+    return by_limit(stored(histogram(lengths), "lengths"))  # read twice, made once
