@@ -21,8 +21,8 @@ BOTH_WINDOWS = windows.two_trailing_windows(AS_OF)
 HISTORY = windows.history_to_month_end(AS_OF)
 SEEN = windows.history_to_date(AS_OF)
 
-MARCH_FUNNEL = O.funnel(O.MARCH)
-MARCH_SESSIONS = MARCH_FUNNEL + O.session_rows()
+FUNNEL = O.funnel("TRUE")
+SESSIONS = FUNNEL + O.session_rows()
 WEEKLY_SESSIONS = O.funnel(O.TWO_WINDOWS) + O.session_rows("recent_data,")
 COUNTED = (
     f"WHERE {O.not_internal(O.MARCH)} AND {O.not_demo(O.MARCH)}",
@@ -40,17 +40,13 @@ WIDE_ROW = "SELECT min(min_date) AS min_date, max(max_date) AS max_date, " + ",
 )
 
 
-def _march(t: Tables) -> DataFrame:
-    return in_window(t.events, LAST_MONTH)
-
-
-def _march_flags(t: Tables) -> DataFrame:
-    started = _march(t).where(audience.has_flavor())
+def _flags(t: Tables) -> DataFrame:
+    started = t.events.where(audience.has_flavor())
     return funnel.funnel_step_flags(funnel.funnel_events(started))
 
 
-def _march_sessions(t: Tables) -> DataFrame:
-    return funnel.with_outcome(funnel.session_rollup(_march_flags(t)))
+def _sessions(t: Tables) -> DataFrame:
+    return funnel.with_outcome(funnel.session_rollup(_flags(t)))
 
 
 def _paths(t: Tables) -> DataFrame:
@@ -88,7 +84,7 @@ def _last_times() -> list:
     f" SELECT shard, event_id, event_name, event_timestamp, user_pseudo_id FROM ev WHERE {O.MARCH}",
 )
 def read_events_window(t):
-    return _march(t).select(
+    return in_window(t.events, LAST_MONTH).select(
         "shard", "event_id", "event_name", "event_timestamp", "user_pseudo_id"
     )
 
@@ -165,9 +161,9 @@ def flatten_event_params(t):
     )
 
 
-@check("funnel_step_flags", MARCH_FUNNEL + " SELECT * EXCLUDE (recent_data) FROM flags")
+@check("funnel_step_flags", FUNNEL + " SELECT * EXCLUDE (recent_data) FROM flags")
 def funnel_step_flags(t):
-    return _march_flags(t).select(
+    return _flags(t).select(
         "user_pseudo_id",
         "ga_session_id",
         iso_second("event_second").alias("event_datetime"),
@@ -180,10 +176,10 @@ def funnel_step_flags(t):
     )
 
 
-@check("session_rollup", MARCH_SESSIONS + " SELECT * FROM rolled")
+@check("session_rollup", SESSIONS + " SELECT * FROM rolled")
 def session_rollup(t):
     return _dated(
-        _march_sessions(t),
+        _sessions(t),
         "user_pseudo_id",
         "ga_session_id",
         *funnel.STEPS,
@@ -192,25 +188,25 @@ def session_rollup(t):
     )
 
 
-@check("final_state", MARCH_SESSIONS + " SELECT user_pseudo_id, ga_session_id, final_state FROM sess")
+@check("final_state", SESSIONS + " SELECT user_pseudo_id, ga_session_id, final_state FROM sess")
 def final_state(t):
-    return _march_sessions(t).select("user_pseudo_id", "ga_session_id", "final_state")
+    return _sessions(t).select("user_pseudo_id", "ga_session_id", "final_state")
 
 
-@check("furthest_step", MARCH_SESSIONS + " SELECT user_pseudo_id, ga_session_id, outcome FROM sess")
+@check("furthest_step", SESSIONS + " SELECT user_pseudo_id, ga_session_id, outcome FROM sess")
 def furthest_step(t):
-    return _march_sessions(t).select("user_pseudo_id", "ga_session_id", "outcome")
+    return _sessions(t).select("user_pseudo_id", "ga_session_id", "outcome")
 
 
-@check("outcome_summary_monthly", MARCH_SESSIONS + SUMMARY + " SELECT * FROM summary")
+@check("outcome_summary_monthly", SESSIONS + SUMMARY + " SELECT * FROM summary")
 def outcome_summary_monthly(t):
-    summary = funnel.outcome_summary(funnel.outcome_users(_march_sessions(t)))
+    summary = funnel.outcome_summary(funnel.outcome_users(_sessions(t)))
     return _dated(summary, "outcome", "users", "sessions")
 
 
-@check("pivot_outcomes", MARCH_SESSIONS + SUMMARY + f" {WIDE_ROW} FROM summary")
+@check("pivot_outcomes", SESSIONS + SUMMARY + f" {WIDE_ROW} FROM summary")
 def pivot_outcomes(t):
-    summary = funnel.outcome_summary(funnel.outcome_users(_march_sessions(t)))
+    summary = funnel.outcome_summary(funnel.outcome_users(_sessions(t)))
     return _dated(funnel.pivot_outcomes(summary), *C.OUTCOME_COLUMNS)
 
 
@@ -369,8 +365,8 @@ def screen_view_extract(t):
 
 # --- retention ----------------------------------------------------------------------------
 
-_EXPIRED = """ FROM shards
-    WHERE regexp_matches(table_name, '^events_(intraday_)?[0-9]{8}$')
+_EXPIRED = f""" FROM shards
+    WHERE regexp_matches(table_name, '{C.SHARD_TABLE_PATTERN}')
       AND right(table_name, 8) < '20240304'"""
 
 

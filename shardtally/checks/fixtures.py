@@ -12,8 +12,16 @@ from shardtally.functions.times import DAY_MICROS, utc
 from shardtally.sources import schema
 
 AS_OF = datetime(2024, 4, 30, 12, tzinfo=UTC)
+MID_MONTH = datetime(2024, 4, 15, 12, tzinfo=UTC)
 RETENTION_AS_OF = datetime(2024, 8, 31, 12, tzinfo=UTC)
 
+# Hosts and a flavor of the fixtures.
+PRODUCTION_DOMAIN = "main.commcarehq.org"
+QA_DOMAIN = "qa1.commcarehq.org"
+TEST_DOMAIN = "mytest.commcarehq.org"
+PRODUCTION_SERVER = "www.commcarehq.org"
+OTHER_FLAVOR = "lts"
+
 PAGE_CYCLE = [*C.PAGES.values(), C.ACTIVITY_SCREEN]
 REASON_CYCLE = [*C.PHONE_ERRORS, *C.BIOMETRIC_ERRORS, C.LOCKOUT_REASON]
 ACTION_CYCLE = list(C.CLICK_ACTIONS.values())
@@ -100,13 +108,13 @@ def events(spark: SparkSession, sf_dir: str, by_day: bool = False) -> DataFrame:
         action=F.when(is_click, _cycle(ACTION_CYCLE, k % 8)),
     )
     properties = _key_values(
-        app_flavor=F.when(uid % 10 == 9, C.OTHER_FLAVOR).otherwise(C.PRODUCTION_FLAVOR),
+        app_flavor=F.when(uid % 10 == 9, OTHER_FLAVOR).otherwise(C.PRODUCTION_FLAVOR),
         device_id=_numbered("d", uid),
         cchq_domain=F.when(uid % 23 == 5, None)
-        .when(uid % 17 == 3, C.QA_DOMAIN)
-        .when(uid % 19 == 4, C.TEST_DOMAIN)
-        .otherwise(C.PRODUCTION_DOMAIN),
-        server=F.when(uid % 29 == 7, C.STAGING_SERVER).otherwise(C.PRODUCTION_SERVER),
+        .when(uid % 17 == 3, QA_DOMAIN)
+        .when(uid % 19 == 4, TEST_DOMAIN)
+        .otherwise(PRODUCTION_DOMAIN),
+        server=F.when(uid % 29 == 7, C.STAGING_SERVER).otherwise(PRODUCTION_SERVER),
         user_cid=F.when(k % 4 != 1, _numbered("c", uid)),
         user_id=_numbered("cc", uid),
         ccc_enabled=F.when(uid % 2 == 0, "true").otherwise("false"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from shardtally import constants as C
+from shardtally.checks import fixtures
 
 PREFIX34 = "repeat('x', 34)"
 
@@ -78,11 +79,11 @@ ev AS (
       _entry('action', f"CASE WHEN event_name = 'ccc_notification_type' THEN {_pick('k % 8', _ACTIONS)} END"),
     )} AS event_params,
     {_entries(
-      _entry('app_flavor', f"CASE WHEN uid % 10 = 9 THEN '{C.OTHER_FLAVOR}' ELSE '{C.PRODUCTION_FLAVOR}' END"),
+      _entry('app_flavor', f"CASE WHEN uid % 10 = 9 THEN '{fixtures.OTHER_FLAVOR}' ELSE '{C.PRODUCTION_FLAVOR}' END"),
       _entry('device_id', "'d' || uid"),
-      _entry('cchq_domain', f'''CASE WHEN uid % 23 = 5 THEN NULL WHEN uid % 17 = 3 THEN '{C.QA_DOMAIN}'
-        WHEN uid % 19 = 4 THEN '{C.TEST_DOMAIN}' ELSE '{C.PRODUCTION_DOMAIN}' END'''),
-      _entry('server', f"CASE WHEN uid % 29 = 7 THEN '{C.STAGING_SERVER}' ELSE '{C.PRODUCTION_SERVER}' END"),
+      _entry('cchq_domain', f'''CASE WHEN uid % 23 = 5 THEN NULL WHEN uid % 17 = 3 THEN '{fixtures.QA_DOMAIN}'
+        WHEN uid % 19 = 4 THEN '{fixtures.TEST_DOMAIN}' ELSE '{fixtures.PRODUCTION_DOMAIN}' END'''),
+      _entry('server', f"CASE WHEN uid % 29 = 7 THEN '{C.STAGING_SERVER}' ELSE '{fixtures.PRODUCTION_SERVER}' END"),
       _entry('user_cid', "CASE WHEN k % 4 <> 1 THEN 'c' || uid END"),
       _entry('user_id', "'cc' || uid"),
       _entry('ccc_enabled', "CASE WHEN uid % 2 = 0 THEN 'true' ELSE 'false' END"),
@@ -194,7 +195,7 @@ def funnel(where: str, excluded: str = "") -> str:
     """CTEs from the events of ``where`` to session rows (``older`` splits weekly sessions)."""
     return f""",
 starting AS (SELECT * FROM ev WHERE {where} AND {IS_FLAVOR} AND event_name IN
-  ('screen_view', 'personal_id_configuration_failure', '{C.ACCOUNT_CREATED}', '{C.ACCOUNT_RECOVERED}')),
+  ('{C.SCREEN_VIEW}', '{C.CONFIGURATION_FAILURE}', '{C.ACCOUNT_CREATED}', '{C.ACCOUNT_RECOVERED}')),
 {FLAT},
 steps AS (
   SELECT *,
@@ -239,9 +240,9 @@ stated AS (
       WHEN incorrect_backup_codes > 2 AND last_wrong_backup_code > ifnull(last_recovered, last_created)
         THEN 'Locked (new)'
       WHEN last_lockout > ifnull(last_recovered, last_created) THEN 'Locked'
-      WHEN last_recovered > '' THEN 'Recovered'
-      WHEN last_created > '' THEN 'Created'
-      WHEN last_lockout > '' THEN 'Locked'
+      WHEN last_recovered IS NOT NULL THEN 'Recovered'
+      WHEN last_created IS NOT NULL THEN 'Created'
+      WHEN last_lockout IS NOT NULL THEN 'Locked'
       WHEN incorrect_backup_codes > 2 THEN 'Locked (new)'
       ELSE 'Not configured' END AS final_state
   FROM rolled

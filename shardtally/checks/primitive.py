@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shardtally import constants as C
+from shardtally.checks import fixtures
 from shardtally.checks import oracle as O
-from shardtally.checks.fixtures import AS_OF, RETENTION_AS_OF
+from shardtally.checks.fixtures import AS_OF, MID_MONTH, RETENTION_AS_OF
 from shardtally.checks.registry import Tables, check
 from shardtally.functions import times, windows
 from shardtally.functions.keyvalue import evaluate_once, param, prop
@@ -116,8 +117,8 @@ def unnest_left(t):
 
 @check(
     "drop_table",
-    """ SELECT 'DROP TABLE `' || table_name || '`;' AS statement FROM shards
-    WHERE regexp_matches(table_name, '^events_(intraday_)?[0-9]{8}$')
+    f""" SELECT 'DROP TABLE `' || table_name || '`;' AS statement FROM shards
+    WHERE regexp_matches(table_name, '{C.SHARD_TABLE_PATTERN}')
       AND right(table_name, 8) < '20240304'""",
 )
 def drop_table(t):
@@ -245,13 +246,13 @@ def is_null(t):
     "and_or_not",
     ATTRIBUTES
     + f""" SELECT event_id FROM attr
-    WHERE (success = 1 OR reason = 'play_services_2' OR action = '') AND NOT domain = '{C.QA_DOMAIN}'""",
+    WHERE (success = 1 OR reason = 'play_services_2' OR action = '') AND NOT domain = '{fixtures.QA_DOMAIN}'""",
 )
 def and_or_not(t):
     any_of = (
         (F.col("success") == 1) | (F.col("reason") == C.PHONE_ERRORS[1]) | (F.col("action") == "")
     )
-    return _attributes(t, "domain", "reason", "action", "success").where(any_of & ~(F.col("domain") == C.QA_DOMAIN)).select(ID)
+    return _attributes(t, "domain", "reason", "action", "success").where(any_of & ~(F.col("domain") == fixtures.QA_DOMAIN)).select(ID)
 
 
 @check(
@@ -643,7 +644,7 @@ def str_like(t):
 
 @check(
     "str_regexp_match",
-    " SELECT table_name, regexp_full_match(table_name, 'events(_intraday)?_[0-9]{8}') AS is_shard FROM shards",
+    f" SELECT table_name, regexp_matches(table_name, '{C.SHARD_TABLE_PATTERN}') AS is_shard FROM shards",
 )
 def str_regexp_match(t):
     is_shard = F.col("table_name").rlike(C.SHARD_TABLE_PATTERN)
@@ -753,12 +754,11 @@ def dt_format_date(t):
 
 @check(
     "dt_diff_days",
-    """ SELECT event_id, CAST(floor((epoch_us(TIMESTAMP '2024-04-30 12:00:00') - event_timestamp)
-      / 86400000000) AS BIGINT) AS days FROM ev WHERE event_timestamp <= epoch_us(TIMESTAMP '2024-04-30 12:00:00')""",
+    """ SELECT event_id, CAST(trunc((epoch_us(TIMESTAMP '2024-04-15 12:00:00') - event_timestamp)
+      / 86400000000) AS BIGINT) AS days FROM ev""",
 )
 def dt_diff_days(t):
-    past = t.events.where(F.col("event_timestamp") <= times.to_micros(AS_OF))
-    return past.select(ID, times.elapsed_days(AS_OF).alias("days"))
+    return t.events.select(ID, times.elapsed_days(MID_MONTH).alias("days"))
 
 
 # --- numbers, arrays, structs -------------------------------------------------------------

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from collections.abc import Callable
 from functools import cached_property, lru_cache
-from hashlib import sha256
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from shardtally.checks import fixtures, oracle
 from shardtally.sources.events import read_events
+from shardtally.sources.workspace import shared_folder
 
 
 class Tables:
@@ -24,13 +24,12 @@ class Tables:
     def events(self) -> DataFrame:
         """Events as the library is meant to find them: a table with one partition per day.
 
-        Spark derives all of it from the test data once per application and writes it to the
-        cluster's shared folder; every query then scans that table.  A cluster that names no
-        shared folder derives the events anew in each query.
+        On the first use, Spark derives all of it from the test data and writes it to the folder
+        that all executors share (``sources.workspace``); every query then scans that table.
         """
-        path = _stored_events(self.spark, self.sf_dir)
-        if path is None:
-            return fixtures.events(self.spark, self.sf_dir)
+        path = f"{shared_folder(self.spark)}/events-{uuid.uuid4().hex[:8]}"
+        derived = fixtures.events(self.spark, self.sf_dir, by_day=True)
+        derived.write.partitionBy("shard").parquet(path)
         return read_events(self.spark, path, more_fields=[T.StructField("event_id", T.LongType())])
 
     @cached_property
@@ -55,35 +54,6 @@ def tables(spark: SparkSession, sf_dir: str) -> Tables:
     return Tables(spark, sf_dir)
 
 
-_STORED: dict[tuple[str, str], str] = {}
-_LOCAL_FOLDERS: list[tempfile.TemporaryDirectory] = []
-
-
-def _stored_events(spark: SparkSession, sf_dir: str) -> str | None:
-    """Path of the event table, written on the first call of this application."""
-    application = spark.conf.get("spark.app.id")
-    if (application, sf_dir) not in _STORED:
-        folder = _shared_folder(spark)
-        if folder is None:
-            return None
-        path = f"{folder}/{application}-events-{sha256(sf_dir.encode()).hexdigest()[:12]}"
-        derived = fixtures.events(spark, sf_dir, by_day=True)
-        derived.write.mode("overwrite").partitionBy("shard").parquet(path)
-        _STORED[application, sf_dir] = path
-    return _STORED[application, sf_dir]
-
-
-def _shared_folder(spark: SparkSession) -> str | None:
-    """The folder all executors share; on one machine with none set, a temporary one."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master").startswith("local"):
-        return None
-    _LOCAL_FOLDERS.append(tempfile.TemporaryDirectory(prefix="shardtally-"))
-    return _LOCAL_FOLDERS[-1].name
-
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 

@@ -1,7 +1,8 @@
 """Names and strings that occur in the event data or in the reports.
 
-FIXED VALUES: everything in this file has to be spelled exactly as the app's
-event export spells it, or as readers of the reports expect it.
+FIXED VALUES: the names, words and patterns in this file have to be spelled exactly as the
+app's event export spells them, or as readers of the reports expect them. The spans at the end
+are defaults.
 """
 
 # Event names.
@@ -36,13 +37,6 @@ NON_PRODUCTION_DOMAINS = ("%qa%commcarehq.org", "%test%commcarehq.org")
 STAGING_SERVER = "staging.commcarehq.org"
 PRODUCTION_FLAVOR = "commcare"
 
-# Hosts and a flavor that occur in the fixtures only.
-PRODUCTION_DOMAIN = "main.commcarehq.org"
-QA_DOMAIN = "qa1.commcarehq.org"
-TEST_DOMAIN = "mytest.commcarehq.org"
-PRODUCTION_SERVER = "www.commcarehq.org"
-OTHER_FLAVOR = "lts"
-
 # How users are told apart.
 DEVICE_PREFIX = "commcare_"
 DEMO_USER_KEY = "is_personal_id_demo_user"

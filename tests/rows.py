@@ -3,14 +3,15 @@
 from datetime import UTC, datetime
 
 from shardtally import constants as C
+from shardtally.checks import fixtures
 from shardtally.functions.times import to_micros
 from shardtally.sources import schema
 
 PACKAGE = "p" * (C.SCREEN_NAME_START - 1)
 PRODUCTION = {
     "app_flavor": C.PRODUCTION_FLAVOR,
-    "cchq_domain": C.PRODUCTION_DOMAIN,
-    "server": C.PRODUCTION_SERVER,
+    "cchq_domain": fixtures.PRODUCTION_DOMAIN,
+    "server": fixtures.PRODUCTION_SERVER,
 }
 
 

@@ -2,6 +2,7 @@ import pytest
 
 from rows import PRODUCTION, at, dimensions, event, events
 from shardtally import constants as C
+from shardtally.checks import fixtures
 from shardtally.functions import windows
 from shardtally.operators import audience
 
@@ -77,10 +78,10 @@ def test_one_pass_equals_the_two_lists(spark):
 def test_production_events(spark):
     cases = {
         "kept": {},
-        "qa": {"cchq_domain": "my-" + C.QA_DOMAIN},
-        "test": {"cchq_domain": C.TEST_DOMAIN},
+        "qa": {"cchq_domain": "my-" + fixtures.QA_DOMAIN},
+        "test": {"cchq_domain": fixtures.TEST_DOMAIN},
         "staging": {"server": C.STAGING_SERVER},
-        "lts": {"app_flavor": C.OTHER_FLAVOR},
+        "lts": {"app_flavor": fixtures.OTHER_FLAVOR},
         "no domain": {"cchq_domain": None},
         "no server": {"server": None},
         "no flavor": {"app_flavor": None},

@@ -7,6 +7,7 @@ import pytest
 import brute
 from rows import PACKAGE, at, dimensions, entries, event, events
 from shardtally import constants as C
+from shardtally.checks import fixtures
 from shardtally.functions import windows
 from shardtally.functions.times import to_micros
 from shardtally.operators.flatten import flatten_event_params
@@ -39,7 +40,7 @@ def random_params(rng):
 
 def random_event(rng, null_users):
     user = rng.choice([*USERS, "a", "b", None if null_users else "g"])
-    props = {"app_flavor": rng.choice([C.PRODUCTION_FLAVOR] * 9 + [C.OTHER_FLAVOR, None])}
+    props = {"app_flavor": rng.choice([C.PRODUCTION_FLAVOR] * 9 + [fixtures.OTHER_FLAVOR, None])}
     if user == "a" and rng.random() < 0.3:
         props[C.DEMO_USER_KEY] = "true"
     if user == "b" and rng.random() < 0.3:
