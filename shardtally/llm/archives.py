@@ -21,6 +21,7 @@ import zlib
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -67,14 +68,15 @@ def _http(page_id: int | None, payload: bytes) -> bytes:
 
 def _arcs(date: str):
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        number = 0
+        task, number = TaskContext.get().partitionId(), 0
         held: dict[int, list[bytes]] = {}
-        size = 0
+        sizes: dict[int, int] = {}
 
         def done() -> pd.DataFrame:
             names = [x[0].split(b" ", 1)[0].decode().removeprefix("filedesc://") for x in held.values()]
             out = pd.DataFrame({"archive": names, "content": [b"".join(x) for x in held.values()]})
             held.clear()
+            sizes.clear()
             return out
 
         for batch in batches:
@@ -82,15 +84,16 @@ def _arcs(date: str):
                 page_id = None if page_id is pd.NA else int(page_id)
                 version = 1 + (page_id or 0) % 2
                 payload = (html or "").encode()
+                name = f"pages-{task}-{number}-v{version}.arc"
                 if version not in held:
-                    number += 1
-                    held[version] = [arc_head(version, f"pages-{number}.arc", date)]
-                record = arc_record(version, url, date, _http(page_id, payload) + payload, f"pages-{number}.arc", size)
+                    held[version] = [arc_head(version, name, date)]
+                    sizes[version] = len(held[version][0])
+                record = arc_record(version, url, date, _http(page_id, payload) + payload, name, sizes[version])
                 held[version].append(record)
-                size += len(record)
-                if size > ARCHIVE_BYTES:
+                sizes[version] += len(record)
+                if sum(sizes.values()) > ARCHIVE_BYTES:
                     yield done()
-                    size = 0
+                    number += 1
         if held:
             yield done()
 
@@ -114,7 +117,7 @@ def _http_parts(block: bytes) -> tuple[dict[str, str], bytes]:
 
 def arc_records(content: bytes) -> Iterator[dict]:
     """The records of one ARC file. What does not fit its declaration ends the file with an ``error`` record."""
-    at, names = 0, FIELDS[1].lower().split()
+    at, names, opened = 0, FIELDS[1].lower().split(), False
     while at < len(content):
         end = content.find(b"\n", at)
         line = content[at : end if end >= 0 else len(content)].rstrip(b"\r").decode("utf-8", "replace")
@@ -128,8 +131,9 @@ def arc_records(content: bytes) -> Iterator[dict]:
             return
         block = content[end + 1 : end + 1 + int(length)]
         at = end + 1 + int(length)
-        if line.startswith("filedesc://"):
+        if line.startswith("filedesc://") and not opened:
             lines = block.decode("utf-8", "replace").splitlines()
+            opened = True
             names = (lines[1] if len(lines) > 1 else FIELDS[2 if lines and lines[0].startswith("2") else 1]).lower().split()
             continue
         if len(block) < int(length):

@@ -47,3 +47,18 @@ def test_versions_and_broken_files():
     wrong = archives.arc_head(2, "c.arc", "2024") + archives.arc_record(1, "u", "2024", b"plain", "c.arc", 0)
     assert "fields" in list(archives.arc_records(wrong))[0]["error"]
     assert list(archives.arc_records(b"")) == []
+
+
+def test_names_and_offsets_of_written_archives(spark):
+    ship(spark)
+    pages = spark.createDataFrame([(i, "filedesc://x" if i == 5 else "u", "é" * i) for i in range(20)], "page_id long, url string, html string")
+    files = archives.write_arc(pages.repartition(2)).collect()
+    assert len({f.archive for f in files}) == len(files) > 2
+    found = 0
+    for file in files:
+        for line in [x for x in file.content.split(b"\n") if len(x.split(b" ")) == 10 and not x.startswith(b"URL")]:
+            fields = line.decode().split(" ")
+            assert file.content[int(fields[7]) :].startswith(line) and fields[8] == file.archive
+            found += 1
+    assert found == 10
+    assert sorted(r["page_id"] for f in files for r in archives.arc_records(bytes(f.content))) == list(range(20))
