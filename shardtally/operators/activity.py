@@ -2,13 +2,16 @@
 
 Each operator first counts per user, then drops the excluded users, then totals.  A user
 with a third of all events is a few rows by the time rows are joined.
+
+``strict`` makes an event that holds a looked-up key more than once an error; without it the
+first entry counts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shardtally import constants as C
@@ -20,14 +23,14 @@ from shardtally.operators.audience import USER, exclude_users
 MONTH = "event_month"
 
 
-def notification_clicks(events: DataFrame) -> DataFrame:
+def notification_clicks(events: DataFrame, strict: bool = False) -> DataFrame:
     """Clicks on push notifications, with their ``action``."""
     named = events.where(F.col("event_name").like(C.NOTIFICATION_PATTERN))
     known = evaluate_once(
         named,
-        __event_type=param("event_params", "event_type"),
-        __screen=param("event_params", "firebase_screen_class"),
-        action=param("event_params", "action"),
+        __event_type=param("event_params", "event_type", strict=strict),
+        __screen=param("event_params", "firebase_screen_class", strict=strict),
+        action=param("event_params", "action", strict=strict),
     )
     is_click = (F.col("__event_type") == C.CLICK_EVENT_TYPE) & (
         F.col("__screen") == C.NOTIFICATION_SCREEN
@@ -35,10 +38,11 @@ def notification_clicks(events: DataFrame) -> DataFrame:
     return known.where(is_click).drop("__event_type", "__screen")
 
 
-def notification_screen_views(events: DataFrame) -> DataFrame:
+def notification_screen_views(events: DataFrame, strict: bool = False) -> DataFrame:
     """Views of the notification screen."""
     named = events.where(F.col("event_name").like(C.SCREEN_VIEW_PATTERN))
-    return named.where(param("event_params", "firebase_screen_class") == C.NOTIFICATION_SCREEN)
+    screen = param("event_params", "firebase_screen_class", strict=strict)
+    return named.where(screen == C.NOTIFICATION_SCREEN)
 
 
 def monthly_distinct_users(
@@ -125,7 +129,9 @@ def active_users(events: DataFrame, excluded: DataFrame | None = None) -> DataFr
     )
 
 
-def monthly_messaging(events: DataFrame, excluded: DataFrame | None = None) -> DataFrame:
+def monthly_messaging(
+    events: DataFrame, excluded: DataFrame | None = None, strict: bool = False
+) -> DataFrame:
     """API users, messages and message clicks per month, in one pass over the events.
 
     Equal to ``monthly_distinct_users`` left-joined with ``monthly_message_stats`` and
@@ -136,14 +142,18 @@ def monthly_messaging(events: DataFrame, excluded: DataFrame | None = None) -> D
     is_api, is_message = name.isin(*C.API_EVENTS), name == C.MESSAGE_SENT
     kind = F.when(is_api, "api").when(is_message, "message").otherwise("click")
     wanted = events.where(is_api | is_message | name.like(C.NOTIFICATION_PATTERN))
+
+    def click_param(key: str) -> Column:
+        return F.when(kind == "click", param("event_params", key, strict=strict))
+
     known = evaluate_once(
         wanted,
         kind=kind,
-        connect_id=F.when(is_api, prop("user_cid")),
+        connect_id=F.when(is_api, prop("user_cid", strict)),
         sender_id=F.when(is_message, F.col("user_id")),
-        event_type=param("event_params", "event_type"),
-        screen=param("event_params", "firebase_screen_class"),
-        action=param("event_params", "action"),
+        event_type=click_param("event_type"),
+        screen=click_param("firebase_screen_class"),
+        action=click_param("action"),
     )
     is_kind = F.col("kind")
     is_click = (F.col("event_type") == C.CLICK_EVENT_TYPE) & (

@@ -1,4 +1,8 @@
-"""Who counts: internal and flagged users, exclusion of users, production events."""
+"""Who counts: internal and flagged users, exclusion of users, production events.
+
+``strict`` makes an event that holds a looked-up key more than once an error; without it the
+first entry counts.
+"""
 
 from __future__ import annotations
 
@@ -24,13 +28,17 @@ def internal_devices(sessions: DataFrame, phones: DataFrame) -> DataFrame:
     return dialled.join(phones, "phone", "left_semi").select("device_id").distinct()
 
 
-def device_key() -> Column:
+def device_key(strict: bool = False) -> Column:
     """Device id of an event, spelled as in the configuration sessions."""
-    return F.concat(F.lit(C.DEVICE_PREFIX), prop("device_id"))
+    return F.concat(F.lit(C.DEVICE_PREFIX), prop("device_id", strict))
 
 
 def internal_users(
-    events: DataFrame, sessions: DataFrame, phones: DataFrame, window: Window
+    events: DataFrame,
+    sessions: DataFrame,
+    phones: DataFrame,
+    window: Window,
+    strict: bool = False,
 ) -> DataFrame:
     """Ids of users seen on an internal device within the window.
 
@@ -39,7 +47,7 @@ def internal_users(
     and broadcasts it only if it is small.
     """
     pairs = (
-        evaluate_once(in_window(events, window), device_id=device_key())
+        evaluate_once(in_window(events, window), device_id=device_key(strict))
         .where(F.col("device_id").isNotNull())
         .select(USER, "device_id")
         .distinct()
@@ -49,10 +57,14 @@ def internal_users(
 
 
 def flagged_users(
-    events: DataFrame, window: Window, key: str = C.DEMO_USER_KEY, value: str = "true"
+    events: DataFrame,
+    window: Window,
+    key: str = C.DEMO_USER_KEY,
+    value: str = "true",
+    strict: bool = False,
 ) -> DataFrame:
     """Ids of users with an event in the window whose property ``key`` equals ``value``."""
-    return in_window(events, window).where(prop(key) == value).select(USER).distinct()
+    return in_window(events, window).where(prop(key, strict) == value).select(USER).distinct()
 
 
 def internal_or_flagged_users(
@@ -62,11 +74,12 @@ def internal_or_flagged_users(
     window: Window,
     key: str = C.DEMO_USER_KEY,
     value: str = "true",
+    strict: bool = False,
 ) -> DataFrame:
     """``internal_users`` and ``flagged_users`` together, in one pass over the events."""
-    flag = F.coalesce(prop(key) == value, F.lit(False))
+    flag = F.coalesce(prop(key, strict) == value, F.lit(False))
     pairs = (
-        evaluate_once(in_window(events, window), device_id=device_key(), flagged=flag)
+        evaluate_once(in_window(events, window), device_id=device_key(strict), flagged=flag)
         .where(F.col("device_id").isNotNull() | F.col("flagged"))
         .groupBy(USER, "device_id")
         .agg(F.max("flagged").alias("flagged"))
@@ -104,8 +117,8 @@ def exclude_users(df: DataFrame, ids: DataFrame | None, column: str = USER) -> D
     return eligible.join(ids, eligible[column].eqNullSafe(ids["__excluded_id"]), "left_anti")
 
 
-def has_flavor(flavor: str = C.PRODUCTION_FLAVOR) -> Column:
-    return prop("app_flavor") == flavor
+def has_flavor(flavor: str = C.PRODUCTION_FLAVOR, strict: bool = False) -> Column:
+    return prop("app_flavor", strict) == flavor
 
 
 def production_events(
@@ -113,13 +126,14 @@ def production_events(
     domains: Sequence[str] = C.NON_PRODUCTION_DOMAINS,
     server: str = C.STAGING_SERVER,
     flavor: str = C.PRODUCTION_FLAVOR,
+    strict: bool = False,
 ) -> DataFrame:
     """Events of production apps; an event without a domain or a server is not one."""
     known = evaluate_once(
         events,
-        __flavor=prop("app_flavor"),
-        __server=prop("server"),
-        __domain=prop("cchq_domain"),
+        __flavor=prop("app_flavor", strict),
+        __server=prop("server", strict),
+        __domain=prop("cchq_domain", strict),
     )
     wanted = (F.col("__flavor") == flavor) & (F.col("__server") != server)
     for pattern in domains:

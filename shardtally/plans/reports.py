@@ -1,7 +1,9 @@
 """Reports over events, configuration sessions and internal phones.
 
 Every report takes ``as_of`` (default: now).  ``excluded`` replaces the list of users to
-leave out: pass it to compute the list once for several reports.
+leave out: pass it to compute the list once for several reports.  Of several entries of an
+event with one key the first counts; with ``strict`` a looked-up key that repeats is an error.
+Flattened funnel parameters take the largest entry either way.
 """
 
 from __future__ import annotations
@@ -24,12 +26,17 @@ def funnel_monthly(
     phones: DataFrame,
     as_of: datetime | None = None,
     excluded: DataFrame | None = None,
+    strict: bool = False,
 ) -> DataFrame:
     """Users per sign-up outcome in the previous month, as one wide row."""
     window = windows.previous_month(as_of)
     if excluded is None:
-        excluded = audience.internal_or_flagged_users(events, sessions, phones, window)
-    started = in_window(events, window).where(audience.has_flavor())
+        excluded = audience.internal_or_flagged_users(
+            events, sessions, phones, window, strict=strict
+        )
+    started = funnel.named_for_funnel(in_window(events, window)).where(
+        audience.has_flavor(strict=strict)
+    )
     rolled_up = funnel.session_rollup(funnel.funnel_step_flags(funnel.funnel_events(started)))
     outcomes = funnel.with_outcome(rolled_up)
     per_user = audience.exclude_users(funnel.outcome_users(outcomes), excluded)
@@ -44,13 +51,18 @@ def funnel_weekly(
     as_of: datetime | None = None,
     window_days: int = C.FUNNEL_WINDOW_DAYS,
     excluded: DataFrame | None = None,
+    strict: bool = False,
 ) -> DataFrame:
     """Users and sessions per sign-up outcome, in the last days and in the days before."""
     as_of = as_utc(as_of)
     window = windows.two_trailing_windows(as_of, window_days)
     if excluded is None:
-        excluded = audience.internal_or_flagged_users(events, sessions, phones, window)
-    started = in_window(events, window).where(audience.has_flavor())
+        excluded = audience.internal_or_flagged_users(
+            events, sessions, phones, window, strict=strict
+        )
+    started = funnel.named_for_funnel(in_window(events, window)).where(
+        audience.has_flavor(strict=strict)
+    )
     labelled = funnel.compare_windows(funnel.funnel_events(started), as_of, window_days)
     flags = funnel.funnel_step_flags(labelled, carry=["recent_data"])
     rolled_up = funnel.session_rollup(flags, by=["recent_data"])
@@ -67,10 +79,13 @@ def messaging_monthly(
     as_of: datetime | None = None,
     history_months: int = C.HISTORY_MONTHS,
     excluded: DataFrame | None = None,
+    strict: bool = False,
 ) -> DataFrame:
     """Connected users, messages, and message notifications per month."""
-    recent, excluded = _production(events, sessions, phones, as_of, history_months, excluded)
-    return activity.monthly_messaging(recent, excluded).orderBy("event_month")
+    recent, excluded = _production(
+        events, sessions, phones, as_of, history_months, excluded, strict
+    )
+    return activity.monthly_messaging(recent, excluded, strict).orderBy("event_month")
 
 
 def notification_clicks(
@@ -80,10 +95,13 @@ def notification_clicks(
     as_of: datetime | None = None,
     history_months: int = C.HISTORY_MONTHS,
     excluded: DataFrame | None = None,
+    strict: bool = False,
 ) -> DataFrame:
     """Clicks on notifications per month and action."""
-    recent, excluded = _production(events, sessions, phones, as_of, history_months, excluded)
-    clicks = activity.notification_clicks(recent)
+    recent, excluded = _production(
+        events, sessions, phones, as_of, history_months, excluded, strict
+    )
+    clicks = activity.notification_clicks(recent, strict)
     return activity.monthly_action_pivot(clicks, excluded).orderBy("event_month")
 
 
@@ -94,10 +112,13 @@ def notification_dau_mau(
     as_of: datetime | None = None,
     history_months: int = C.HISTORY_MONTHS,
     excluded: DataFrame | None = None,
+    strict: bool = False,
 ) -> DataFrame:
     """Daily and monthly users of the notification screen."""
-    recent, excluded = _production(events, sessions, phones, as_of, history_months, excluded)
-    views = activity.notification_screen_views(recent)
+    recent, excluded = _production(
+        events, sessions, phones, as_of, history_months, excluded, strict
+    )
+    views = activity.notification_screen_views(recent, strict)
     return activity.active_users(views, excluded).orderBy("period", "metric_type")
 
 
@@ -108,10 +129,15 @@ def notification_screen_views(
     as_of: datetime | None = None,
     history_months: int = C.SCREEN_VIEW_HISTORY_MONTHS,
     excluded: DataFrame | None = None,
+    strict: bool = False,
 ) -> DataFrame:
     """Every view of the notification screen, flat."""
-    recent, excluded = _production(events, sessions, phones, as_of, history_months, excluded)
-    views = extract.screen_view_extract(activity.notification_screen_views(recent))
+    recent, excluded = _production(
+        events, sessions, phones, as_of, history_months, excluded, strict
+    )
+    views = extract.screen_view_extract(
+        activity.notification_screen_views(recent, strict), strict
+    )
     return audience.exclude_users(views, excluded)
 
 
@@ -124,13 +150,13 @@ def retention_statements(
     )
 
 
-def _production(events, sessions, phones, as_of, months, excluded):
+def _production(events, sessions, phones, as_of, months, excluded, strict):
     as_of = as_utc(as_of)
     if excluded is None:
         seen = windows.history_to_date(as_of, months)
-        excluded = audience.internal_users(events, sessions, phones, seen)
+        excluded = audience.internal_users(events, sessions, phones, seen, strict)
     recent = in_window(events, windows.history_to_month_end(as_of, months))
-    return audience.production_events(recent), excluded
+    return audience.production_events(recent, strict=strict), excluded
 
 
 def _with_dates(df: DataFrame, *columns: str, dates_first: bool = False) -> DataFrame:
