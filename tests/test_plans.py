@@ -124,13 +124,6 @@ def test_event_names_reach_the_parquet_reader(stored, name):
     assert re.search(r"PushedFilters: \[[^\]]*In\(event_name", plan)
 
 
-@pytest.mark.parametrize("name", ["funnel_monthly", "funnel_weekly"])
-def test_event_names_are_tested_before_the_flavor(stored, name):
-    plan = physical(getattr(reports, name)(*stored, as_of=AS_OF))
-    filters = re.findall(r"Filter \(.*app_flavor.*", plan)
-    assert filters and all(f.index("event_name") < f.index("app_flavor") for f in filters)
-
-
 def test_flags_of_a_session_shuffle_as_one_number(stored):
     plan = physical(reports.funnel_monthly(*stored, as_of=AS_OF))
     assert "bit_or" in plan
