@@ -26,6 +26,8 @@ PERIOD = 2**31
 #: An odd number next to PERIOD times the golden ratio's fraction.
 GOLDEN = 1327217885
 CELLS = 4096
+#: A whole copy in the running sums of shares of copies.
+UNIT = 2**32
 #: Multipliers that shuffle block numbers: primes, of which one at least divides no block count.
 PRIMES = (1000003, 1000033, 1000037, 1000039, 1000081, 1000099, 1000117, 1000121, 1000133, 1000151, 1000159)
 
@@ -122,6 +124,11 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST, block: int
     than ``most`` times; a source's taken words equal its target, rounded. Reruns agree.
     Other columns are not looked at; an empty table gives an empty result.
     """
+    return _mix(docs, weights, most, block)[0].drop("sid")
+
+
+def _mix(docs: DataFrame, weights: tuple, most: int, block: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``mix`` with ``sid``, and the table of ``targets``."""
     order = F.xxhash64("doc_id", F.lit(11))
     sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", word_count("text").alias("size"), order.alias("_h"), *row_key())
     sized = stored(sized, "sizes")
@@ -154,15 +161,55 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST, block: int
     taken = pieces.join(slots, ["sid", "_at"], "left").withColumn("_taken", F.coalesce(words, F.lit(0)))
     keys = ["sid", "_bucket", "_row", "doc_id", "size", "source_size", "target", "_k1", "_k2"]
     taken = taken.groupBy(keys).agg(F.sum("_taken").cast("long").alias("taken"))
-    return taken.select("doc_id", "size", "source_size", "target", "taken", "_k1", "_k2")
+    return taken.select("sid", "doc_id", "size", "source_size", "target", "taken", "_k1", "_k2"), sources
+
+
+def _before(rows: DataFrame, keys: list[str], inner: list[str | Column], value: str, name: str) -> DataFrame:
+    """``rows`` with the sum of ``value`` over the rows of the same ``keys`` that come before by ``inner``."""
+    window = Window.partitionBy(*keys).orderBy(*inner).rowsBetween(Window.unboundedPreceding, -1)
+    return rows.withColumn(name, F.coalesce(F.sum(value).over(window), F.lit(0)))
+
+
+def whole_copies(taken: DataFrame) -> DataFrame:
+    """``sid, _k1, _k2, _rows, _copies``: how many whole copies stand for the words ``taken`` of each document of ``_mix``.
+
+    A document gets taken div size copies; what is left of it is a share p < 1 of one more. Down a
+    source's documents, largest first, one gets that copy where the running sum of p passes a half, one and
+    a half, ... The copies given are then never more than half a copy ahead of or behind p, and as sizes
+    only fall along the way, a source's words end within half its largest document of what ``mix`` takes.
+    Repeated rows are one document of ``_rows`` rows. p is counted in units of 1/UNIT; its sums
+    are made within stretches of one size, over the stretches and over the sizes.
+    """
+    groups = taken.where("size > 0").groupBy("sid", "size", "_k1", "_k2").agg(F.sum("taken").alias("_taken"), F.count("*").alias("_rows"))
+    share = F.expr(f"(_taken % size) * {UNIT} div size")
+    groups = groups.withColumns({"_full": F.expr("_taken div size"), "_p": share, "_h": F.xxhash64("_k1", "_k2")})
+    groups = stored(groups.where("_taken > 0"), "shares")
+    groups = groups.withColumn("_bucket", F.shiftright("_h", 64 - min(62, _stretch(groups.count(), 1))))
+    parts = groups.groupBy("sid", "size", "_bucket").agg(F.sum("_p").alias("_n"))
+    sizes = parts.groupBy("sid", "size").agg(F.sum("_n").alias("_n"))
+    sizes = _before(sizes, ["sid"], [F.desc("size")], "_n", "_larger").drop("_n")
+    parts = _before(parts, ["sid", "size"], ["_bucket"], "_n", "_above").drop("_n")
+    rows = _before(groups, ["sid", "size", "_bucket"], ["_h", "_k1", "_k2"], "_p", "_in")
+    rows = rows.join(parts, ["sid", "size", "_bucket"]).join(sizes, ["sid", "size"])
+    rows = rows.withColumn("_from", F.col("_larger") + F.col("_above") + F.col("_in") + UNIT // 2)
+    copies = F.col("_full") + F.expr(f"(_from + _p) div {UNIT} - _from div {UNIT}")
+    return rows.select("sid", "_k1", "_k2", "_rows", copies.alias("_copies")).where("_copies > 0")
 
 
 def mixed_documents(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST, block: int = BLOCK) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes its words, rounded to whole documents.
+    """The rows of ``docs``, each in whole copies, ``most`` at most, so that every source has its target within half its largest document.
 
-    Repeated rows share what is taken of them. Blank texts are left out. All columns stay as they are.
+    Repeated rows share the copies of their document. Blank texts are left out. All columns stay as they are.
     """
-    taken = mix(docs, weights, most, block).groupBy("_k1", "_k2").agg(F.sum("taken").alias("_taken"), F.sum("size").alias("_size"))
-    copies = taken.where("_size > 0").select("_k1", "_k2", F.round(F.col("_taken") / F.col("_size")).cast("int").alias("_copies")).where("_copies > 0")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *row_key())
-    return rows.join(copies, ["_k1", "_k2"]).select("_row", F.explode(F.sequence(F.lit(1), "_copies"))).select("_row.*")
+    taken, sources = _mix(docs, weights, most, block)
+    names = sources.select("sid", F.xxhash64(F.col("source").isNull(), "source").alias("_k3"))
+    keys = ["_k1", "_k2", "_k3"]
+    copies = stored(whole_copies(taken).join(names, "sid").select(*keys, "_rows", "_copies"), "copies")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *row_key(), F.xxhash64(F.col("source").isNull(), "source").alias("_k3"))
+    out = rows.join(copies.where("_rows = 1"), keys).select("_row", "_copies")
+    repeated = copies.where("_rows > 1")
+    if not repeated.isEmpty():
+        more = rows.join(repeated, keys).withColumn("_nth", F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64("_row"))))
+        more = more.withColumn("_copies", F.expr("_copies div _rows + if(_nth <= _copies % _rows, 1, 0)")).where("_copies > 0")
+        out = out.union(more.select("_row", "_copies"))
+    return out.select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select("_row.*")

@@ -81,6 +81,33 @@ def test_whole_documents(spark):
     assert abs(words["a"] / words["b"] - 2.5) < 0.6
 
 
+def test_whole_documents_reach_every_target(spark):
+    rng = random.Random(8)
+    data = [(i, f"s{i % 6}", f"t{i} " * rng.choice([1, 30, 400, 3000, 6000])) for i in range(900)]
+    data += [(900 + i, None, "n " * 2000) for i in range(60)] + [(5000, "s0", "twice " * 500)] * 4 + [(5000, "s3", "twice " * 500)] * 3
+    docs = spark.createDataFrame(data, "doc_id long, source string, text string").repartition(4)
+    out = mixing.mixed_documents(docs).withColumn("n", mixing.word_count("text"))
+    words = {r.source: r.n for r in out.groupBy("source").agg(F.sum("n").alias("n")).collect()}
+    sizes, largest = {}, {}
+    for _, source, text in data:
+        sizes[source] = sizes.get(source, 0) + len(text.split())
+        largest[source] = max(largest.get(source, 0), len(text.split()))
+    for source, target in looped_targets(sizes).items():
+        assert abs(words[source] - target) <= largest[source] / 2 + 1, source
+    rows = {(r.doc_id, r.source): r["count"] for r in out.groupBy("doc_id", "source").count().collect()}
+    assert all(n <= 3 for (i, _), n in rows.items() if i != 5000) and 0 < rows[5000, "s0"] <= 12 and 0 < rows[5000, "s3"] <= 9
+    long_ones = [i for i, s, t in data if s == "s2" and len(t.split()) >= 3000]
+    assert sum((i, "s2") in rows for i in long_ones) > len(long_ones) / 6
+
+
+def test_repeated_rows_share_the_copies_of_their_document(spark):
+    shares = [(1, 9, 9, 10, 25), (1, 9, 9, 10, 0), (1, 2, 2, 10, 30), (2, 3, 3, 10, 5), (2, 4, 4, 10, 4), (2, 5, 5, 10, 1)]
+    taken = spark.createDataFrame(shares, "sid long, _k1 long, _k2 long, size long, taken long")
+    got = {(r.sid, r._k1): (r._rows, r._copies) for r in mixing.whole_copies(taken).collect()}
+    assert got[1, 2] == (1, 3) and got[1, 9][0] == 2 and got[1, 9][1] in (2, 3)
+    assert sum(n for (s, _), (_, n) in got.items() if s == 2) == 1
+
+
 def test_whole_table(spark):
     from shardtally.llm.queries import op5_mixing
 
