@@ -25,9 +25,12 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, similarity 0.8): the smallest doc_id.
 
-    Repeated rows are one row. A group of null ids alone keeps each of its texts once.
+    Null ids come last; of one id, or of null ids alone, the text with the smallest hash stays. Repeated rows are one row.
     """
-    kept = nearcopies.grouped(docs).where("kept").select("_k1", "_k2").distinct()
+    groups = nearcopies.grouped(docs)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("_null"), "_k1", "_k2")).alias("_first")
+    kept = groups.where("_group is not null").groupBy("_group").agg(first).select("_first._k1", "_first._k2")
+    kept = kept.union(groups.where("_group is null").select("_k1", "_k2")).distinct()
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *row_key())
     return rows.join(kept, ["_k1", "_k2"]).dropDuplicates(["_k1", "_k2"]).select("_row.*")
 

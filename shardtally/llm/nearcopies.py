@@ -275,7 +275,7 @@ def near_copies(docs: DataFrame, size: int = 5, percent: int = PERCENT) -> DataF
 
 
 def grouped(docs: DataFrame, size: int = 5, percent: int = PERCENT) -> DataFrame:
-    """``near_copies`` with the row keys ``_k1, _k2`` (see ``row_key``)."""
+    """``near_copies`` with the row keys ``_k1, _k2`` (see ``row_key``) and ``_group``, a number of each group (null for texts linked with nothing)."""
     keyed = docs.select(F.col("doc_id").cast("long").alias("_id"), *row_key(), F.col("text").alias("_text"))
     schema = "doc_id long, _k1 long, _k2 long, n long, node long, bands array<long>"
     sketch = stored(keyed.mapInPandas(_sketches(size), schema), "sketch")
@@ -299,10 +299,10 @@ def grouped(docs: DataFrame, size: int = 5, percent: int = PERCENT) -> DataFrame
 
     in_groups = classes.select("node", "smallest").join(labels, "node")
     least = in_groups.groupBy("root").agg(F.min("smallest").alias("component_id"))
-    groups = in_groups.join(least, "root").select("node", "component_id")
+    groups = in_groups.join(least, "root").select("node", "component_id", "root")
     per_class = classes.select("node", "smallest").join(groups, "node", "left")
-    per_class = per_class.select("node", F.coalesce("component_id", "smallest").alias("component_id"))
+    per_class = per_class.select("node", F.coalesce("component_id", "smallest").alias("component_id"), F.coalesce("root", "node").alias("_group"))
     columns = ["doc_id", "_k1", "_k2", F.col("n").alias("n_shingles")]
-    result = full.join(per_class, "node", "left").select(*columns, "component_id")
-    result = result.union(sketch.where("n = 0").select(*columns, "doc_id"))
+    result = full.join(per_class, "node", "left").select(*columns, "component_id", "_group")
+    result = result.union(sketch.where("n = 0").select(*columns, "doc_id", F.lit(None).cast("long")))
     return result.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -69,3 +69,16 @@ def test_odd_rows(spark):
     for name, stage in corpus_pipeline.STAGES:
         none = stored(stage(spark, none, FOLDER), name)
     assert none.count() == 0
+
+
+def test_one_row_stays_of_null_and_repeated_ids(spark):
+    base = [f"w{i}" for i in range(200)]
+    copy = lambda n: " ".join([*base[:-1], f"end{n}"])
+    other = lambda n: " ".join([f"v{i}" for i in range(150)] + [f"end{n}"])
+    third = lambda n: " ".join([f"u{i}" for i in range(150)] + [f"end{n}"])
+    rows = [(None, copy(i)) for i in range(4)] + [(7, other(1)), (7, other(2)), (9, other(3)), (7, "alone and not like the others at all")]
+    rows += [(None, third(1)), (3, third(2)), (None, ""), (8, None), (None, copy(0))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [tuple(r) for r in dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, FOLDER).collect()]
+    assert [sum(g in chosen for g in got) for chosen in ([(None, copy(i)) for i in range(4)], [(7, other(1)), (7, other(2))])] == [1, 1]
+    assert {(7, "alone and not like the others at all"), (3, third(2)), (None, ""), (8, None)} <= set(got) and len(got) == 6
