@@ -74,8 +74,17 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def licence_files(docs: DataFrame) -> DataFrame:
-    """Documents as files of a tree: the source's folder, two levels of folders by number, a file per document."""
-    path = F.concat_ws("/", "source", F.expr("doc_id div 1000"), F.expr("doc_id div 20"), "doc_id")
+    """Documents as files of a tree: a third in one folder, the others by number in folders of three depths, on each of them.
+
+    A folder ``a<n>`` has the documents of 2,000 numbers, the folders ``b<n>`` in it those of 200 each, and the folders
+    ``c<n>`` in these of 50. Of ten numbers one lies in the uppermost folder itself and two in the next. A quarter of
+    the files is named LICENSE.<number>, by a hash of the number; whether they hold a licence is for the text to say.
+    """
+    a, b, c = (F.concat(F.lit(x), F.expr(f"doc_id div {n}").cast("string")) for x, n in (("a", 2000), ("b", 200), ("c", 50)))
+    digit = F.pmod(F.expr("doc_id div 3"), F.lit(10))
+    folder = F.when(F.col("doc_id") % 3 == 0, F.lit("shared/all")).when(digit == 0, a).when(digit <= 2, F.concat_ws("/", a, b))
+    name = F.concat(F.when(F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0, "LICENSE.").otherwise(""), F.col("doc_id").cast("string"))
+    path = F.concat_ws("/", folder.otherwise(F.concat_ws("/", a, b, c)), name)
     return docs.select(F.col("doc_id").alias("file_id"), path.alias("path"), "text")
 
 
