@@ -83,6 +83,39 @@ def test_root_directory_and_line_numbers(spark):
     assert (rows[2].line, rows[2].is_header, rows[3].licence, rows[3].licensed_by) == (30, False, "MIT", "")
 
 
+GPL = """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version."""
+
+
+def test_wrapped_embedded_and_full_texts(spark):
+    ship(spark)
+    prose = "some words of prose that say nothing at all about terms " * 20
+    full = {n: t for n, [t] in licences.full_texts().items()}
+    header = "/* This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/. */"
+    cases = {
+        "GPL-3.0": [GPL + "\n" + prose, prose + "\n" + GPL],
+        "LGPL-3.0": [GPL.replace("GNU General", "GNU Lesser General") + "\n" + prose],
+        "AGPL-3.0": [GPL.replace("GNU General", "GNU Affero General") + "\n" + prose],
+        "GPL-2.0": [GPL.replace("version 3", "version 2") + "\n" + prose],
+        "MPL-2.0": [header + "\n" + prose],
+        "Apache-2.0": [f"{prose} Copyright 2020 Someone. Licensed under the Apache License, Version 2.0. See the LICENSE file for details. {prose}", "// SPDX-License-Identifier: Apache-2.0\n" + prose],
+        "MIT": ["# SPDX-License-Identifier: MIT\n" + prose, prose + " ".join(full["MIT"].split()) + prose],
+        "MIT OR Apache-2.0": ["// SPDX-License-Identifier: MIT OR Apache-2.0\n" + prose],
+        "ISC": ["Permission to use, copy, modify, and distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.\n" + prose],
+        None: ["Copyright (c) 2020 Someone. All rights reserved.\n" + prose],
+    }
+    cases = [(name, text, False) for name, texts in cases.items() for text in texts] + [(name, text, True) for name, text in full.items()]
+    cases += [(None, "the license under which the public may read this is a free one\n" + prose, False)]
+    rows = [(i, f"d{i}/f", text) for i, (_, text, _) in enumerate(cases)] + [(1000 + i, f"p{i}/f", prose + f"n{i}") for i in range(300)]
+    found = licences.scan(spark.createDataFrame(rows, "file_id long, path string, text string")).collect()
+    got = {r.file_id: (r.own_licence, r.is_licence_file) for r in found}
+    assert all(r.rights_reserved == ("all rights reserved" in " ".join(dict(enumerate(t for _, t, _ in cases)).get(r.file_id, "").lower().split())) for r in found)
+    assert [got[i] for i in range(len(cases))] == [(name, whole) for name, _, whole in cases]
+    assert all(got[1000 + i] == (None, False) for i in range(300))
+
+
 def test_whole_table(spark):
     from shardtally.llm.queries import licence_files, op1_licence_scan
 
