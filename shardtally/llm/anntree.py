@@ -29,6 +29,8 @@ QUERIES = 512
 CALIBRATION = 200
 RECALL = 0.98
 ROUNDS = 8
+#: Vectors whose squared distance overflows are divided by this.
+HUGE = 2.0**600
 
 
 @dataclass
@@ -39,14 +41,15 @@ class Tree:
     children: list[list[int]] = field(default_factory=list)
     leaf: list[int] = field(default_factory=list)
 
-    def order(self, query: np.ndarray, most: int | None = None) -> list[int]:
-        """Leaves in best-bin-first order, the first ``most``."""
-        branches, visited = [(0.0, 0)], []
-        while branches and (most is None or len(visited) < most):
+    def order(self, query: np.ndarray, most: int | None = None, held: dict[int, int] | None = None, least: int = 0) -> list[int]:
+        """Leaves in best-bin-first order, the first ``most``, and on until they hold ``least`` vectors (``held`` by leaf)."""
+        branches, visited, seen = [(0.0, 0)], [], 0
+        while branches and (most is None or len(visited) < most or seen < least):
             _, node = heapq.heappop(branches)
             kids = self.children[node]
             if not kids:
                 visited.append(self.leaf[node])
+                seen += held.get(self.leaf[node], 0) if held else 0
                 continue
             for far, kid in zip(((self.centre[kids] - query) ** 2).sum(axis=1).tolist(), kids):
                 heapq.heappush(branches, (far, kid))
@@ -109,10 +112,10 @@ def _leaves(tree: Tree):
     return rows
 
 
-def _visits(tree: Tree, most: int):
+def _visits(tree: Tree, most: int, held: dict[int, int], least: int):
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield batch.assign(leaf=[tree.order(np.asarray(v, np.float64), most) for v in batch["v"]])
+            yield batch.assign(leaf=[tree.order(np.asarray(v, np.float64), most, held, least) for v in batch["v"]])
 
     return rows
 
@@ -137,13 +140,16 @@ def _best(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors:
     frames = []
     for lo in range(0, len(query_ids), 128):
         own = query_ids[lo : lo + 128]
-        far = _distances(queries[lo : lo + 128], vectors)
-        far[own[:, None] == ids[None, :]] = np.inf
+        with np.errstate(over="ignore"):
+            far = np.sqrt(_distances(queries[lo : lo + 128], vectors))
+            if np.isinf(far).any():  # squares overflow
+                far = np.where(np.isinf(far), np.sqrt(_distances(queries[lo : lo + 128] / HUGE, vectors / HUGE)) * HUGE, far)
+        far[own[:, None] == ids[None, :]] = np.nan
         kept = np.argsort(far, axis=1, kind="stable")[:, :k]
         number = np.repeat(np.arange(len(own)), kept.shape[1])
         score = far[number, kept.ravel()]
-        real = np.isfinite(score)
-        frames.append(pd.DataFrame({"query_id": own[number][real], "vec_id": ids[kept.ravel()][real], "score": np.sqrt(score[real])}))
+        real = ~np.isnan(score)
+        frames.append(pd.DataFrame({"query_id": own[number][real], "vec_id": ids[kept.ravel()][real], "score": score[real]}))
     return pd.concat(frames, ignore_index=True)
 
 
@@ -219,12 +225,15 @@ def _one_length(rows: DataFrame, n: int, every: int, k: int, recall: float) -> D
     tree = fit(sample, max(1, min(n // LEAF, len(sample) // 8)))
     vector = "array<double>"
     indexed = rows.mapInPandas(_leaves(tree), f"vec_id long, v {vector}, leaf long")
-    packs = _dealt(stored(indexed, "indexed"), "vec_id", PACK).groupBy("leaf", "part").applyInPandas(_packed, "leaf long, ids binary, vectors binary")
+    indexed = stored(indexed, "indexed")
+    held = {r.leaf: r["count"] for r in indexed.groupBy("leaf").count().collect()}
+    packs = _dealt(indexed, "vec_id", PACK).groupBy("leaf", "part").applyInPandas(_packed, "leaf long, ids binary, vectors binary")
     packs = stored(packs, "packs")
     queries = rows.where(F.col("vec_id") % every == 0)
     visits = calibrated(packs, queries, tree, k, recall)
+    own = queries.groupBy("vec_id").count().agg(F.max("count")).first()[0] or 0  # a query's own rows are no candidates
 
-    routed = queries.mapInPandas(_visits(tree, visits), f"vec_id long, v {vector}, leaf array<long>")
+    routed = queries.mapInPandas(_visits(tree, visits, held, k + own), f"vec_id long, v {vector}, leaf array<long>")
     routed = stored(routed.select("vec_id", "v", F.explode("leaf").alias("leaf")), "routed")
     blocks = _dealt(routed, "vec_id", QUERIES).groupBy("leaf", "part").applyInPandas(_packed, "leaf long, ids binary, vectors binary")
     blocks = blocks.select("leaf", F.col("ids").alias("query_ids"), F.col("vectors").alias("queries"))

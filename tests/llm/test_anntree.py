@@ -57,3 +57,18 @@ def test_many_copies_ties_and_odd_rows(spark):
     assert anntree.nearest(df.limit(0)).count() == 0
     few = anntree.nearest(df.where("vec_id in (0, 1, 2)"), every=50).collect()
     assert sorted(r.vec_id for r in few) == [1, 2]
+
+
+def test_small_leaves_and_huge_distances_give_k_rows(spark, monkeypatch):
+    monkeypatch.setattr(anntree, "calibrated", lambda *args: 1)
+    monkeypatch.setattr(anntree, "LEAF", 100)
+    rng = np.random.default_rng(3)
+    crowd = rng.normal(0, 0.01, (900, 3)) + rng.choice([1.0, 9.0], (900, 1))
+    alone = np.array([[500.0, 0, 0], [501, 0, 0], [502, 0, 0]])
+    rows = [(i + 1, v.tolist()) for i, v in enumerate(crowd)] + [(1000 * (i + 2), v.tolist()) for i, v in enumerate(alone)]
+    got = anntree.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), every=1000).collect()
+    assert sorted((r.query_id, r.rank) for r in got) == [(q, n) for q in (2000, 3000, 4000) for n in range(1, 11)]
+
+    huge = [(100, [1e200, 0.0]), (101, [3e200, 0.0]), (102, [-2e200, 0.0]), (103, [1e200, 1.0])]
+    got = anntree.nearest(spark.createDataFrame(huge, "vec_id long, embedding array<double>")).orderBy("rank").collect()
+    assert [r.vec_id for r in got] == [103, 101, 102] and abs(got[1].score / 2e200 - 1) < 1e-9
