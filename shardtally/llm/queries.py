@@ -8,13 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardtally.llm import anntree, archives, exacttopk, licences, mergereplay, mixing, nearcopies, quality, substrings, tokencounts
+from shardtally.llm import anntree, archives, exacttopk, filteraudit, licences, mergereplay, mixing, nearcopies, piecetable, quality, substrings, tokencounts
+from shardtally.llm import oracle
 from shardtally.llm.common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = oracle.SQL
 
 
 def query(build):
@@ -91,3 +92,14 @@ def licence_files(docs: DataFrame) -> DataFrame:
 @query
 def op1_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(licence_files(table(spark, sf_dir, "documents")))
+
+
+@query
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = piecetable.transform_digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return coded.select("_row.doc_id", "_fim.*")
+
+
+@query
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filteraudit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
