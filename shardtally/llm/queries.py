@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardtally.llm import anntree, archives, exacttopk, filteraudit, licences, mergereplay, mixing, nearcopies, piecetable, quality, substrings, tokencounts
+from shardtally.llm import anntree, archives, exacttopk, filteraudit, licences, mergereplay, mixing, nearcopies, piecetable, quality, substrings, tokencounts, toxicity
 from shardtally.llm import oracle
 from shardtally.llm.common import table
 
@@ -94,6 +94,14 @@ def op1_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(licence_files(table(spark, sf_dir, "documents")))
 
 
+@query
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = toxicity.scored(docs, table(spark, sf_dir, "labels"))
+    predicted = (F.col("_score") >= toxicity.TOXIC_AT).cast("int").alias("predicted")
+    return rows.select("_row.doc_id", toxicity.held_out("_row.doc_id").alias("held_out"), F.col("_score").alias("score"), predicted)
+
+
 @query
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = piecetable.transform_digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
