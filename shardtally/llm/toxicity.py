@@ -11,8 +11,8 @@ is judged by the parts that it shares with others, and one that says nothing has
 
 The models are kept as one table: log P_toxic - log P_other of every gram ``h x`` seen, and of every h
 seen for the x not seen after it. A text is described by its log ratio per character (the
-length-normalised likelihoods compared), the largest ratio of a single word, and its length; a
-logistic regression on these, fitted on labelled rows that the models have not seen, gives the score.
+length-normalised likelihoods compared), the largest ratio of a single word, how far its words go beyond
+``STRONG`` together, and its length; a logistic regression on these, fitted on labelled rows that the models have not seen, gives the score.
 
 Counts come from all labelled rows and grow with them. The table is sent to the tasks if it has at
 most ``SENT_GRAMS`` rows; a larger one meets the words of the texts in joins, with the same results.
@@ -33,7 +33,8 @@ from shardtally.llm.common import row_key
 from shardtally.llm.quality import held_out
 from shardtally.sources.workspace import stored
 
-ORDER = 6
+ORDER = 8
+STRONG = 4.0
 SENT_GRAMS = 4_000_000
 CALIBRATION = 20_000
 TOXIC_AT = 0.5
@@ -41,7 +42,7 @@ CHUNK_CHARS = 2_000_000
 MEMO = 300_000
 PAD, END = "^", "$"
 _NOT_LETTERS = r"[^\p{L}]+"
-FEATURES = ["_mean", "_best", "_length"]
+FEATURES = ["_mean", "_best", "_strong", "_length"]
 
 
 def words_of(text: Column) -> Column:
@@ -140,13 +141,13 @@ class Ratios:
 
 
 class _Tokens(dict):
-    """Numbers of the blank-separated tokens seen, and their sums: letters' ratio, characters, best word."""
+    """Numbers of the blank-separated tokens seen, and of each: its words' ratio, characters, best word, excess over ``STRONG``."""
 
     letters = regex.compile(r"\p{L}+")
 
     def __init__(self, ratios: Ratios):
         super().__init__()
-        self.ratios, self.new, self.table = ratios, [], np.zeros((0, 3))
+        self.ratios, self.new, self.table = ratios, [], np.zeros((0, 4))
 
     def __missing__(self, token: str) -> int:
         number = self[token] = len(self)
@@ -159,10 +160,11 @@ class _Tokens(dict):
         flat = [w for r in runs for w in r]
         ratio = self.ratios.words(flat)
         owner = np.repeat(np.arange(len(runs)), sizes)
-        rows = np.zeros((len(runs), 3))
+        rows = np.zeros((len(runs), 4))
         rows[:, 0] = np.bincount(owner, ratio, len(runs))
         rows[:, 1] = np.bincount(owner, [len(w) + 1 for w in flat], len(runs))
         np.maximum.at(rows[:, 2], owner, ratio)
+        rows[:, 3] = np.bincount(owner, np.maximum(ratio - STRONG, 0), len(runs))
         self.table, self.new = np.concatenate([self.table, rows]), []
 
 
@@ -170,19 +172,19 @@ def _described(texts: list[str], tokens: _Tokens) -> np.ndarray:
     """Features of some texts; a text without letters has zeros."""
     if len(tokens) > MEMO:
         tokens.clear()
-        tokens.table = np.zeros((0, 3))
+        tokens.table = np.zeros((0, 4))
     numbers, sizes = [], []
     for text in texts:
         own = text.split()
         sizes.append(len(own))
         numbers.append(np.fromiter(map(tokens.__getitem__, own), np.int64, len(own)))
     tokens.score_new()
-    out = np.zeros((len(texts), 3))
+    out = np.zeros((len(texts), len(FEATURES)))
     for i, own in enumerate(numbers):
         if len(own):
             rows = tokens.table[own]
             chars = rows[:, 1].sum()
-            out[i] = rows[:, 0].sum() / max(chars, 1), rows[:, 2].max(), np.log1p(chars)
+            out[i] = rows[:, 0].sum() / max(chars, 1), rows[:, 2].max(), np.log1p(rows[:, 3].sum()), np.log1p(chars)
     return out
 
 
@@ -192,7 +194,7 @@ def _describe(held):
     def rows(columns: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         tokens = _Tokens(Ratios(*held.value))
         for texts in columns:
-            out, chunk, size = [np.zeros((0, 3))], [], 0
+            out, chunk, size = [np.zeros((0, len(FEATURES)))], [], 0
             for text in texts:
                 chunk.append(text or "")
                 size += len(chunk[-1])
@@ -203,7 +205,7 @@ def _describe(held):
             yield pd.DataFrame(np.concatenate(out), columns=FEATURES)
 
     rows.__annotations__ = {"columns": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
-    return F.pandas_udf(rows, "_mean double, _best double, _length double")
+    return F.pandas_udf(rows, ", ".join(f"{c} double" for c in FEATURES))
 
 
 def described(docs: DataFrame, table: DataFrame, order: int = ORDER, sent: int = SENT_GRAMS) -> DataFrame:
@@ -223,8 +225,9 @@ def described(docs: DataFrame, table: DataFrame, order: int = ORDER, sent: int =
     ratios = places.join(whole, "_gram", "left").join(heads, "_head", "left")
     ratios = ratios.groupBy("word").agg(F.sum(F.coalesce("_whole", "_rest", F.lit(0.0))).alias("ratio"))
     chars = F.sum(F.col("n") * (F.length("word") + 1))
-    texts = words.join(ratios, "word").groupBy("_k1", "_k2")
-    texts = texts.agg((F.sum(F.col("n") * F.col("ratio")) / chars).alias("_mean"), F.greatest(F.max("ratio"), F.lit(0.0)).alias("_best"), F.log1p(chars).alias("_length"))
+    excess = F.log1p(F.sum(F.col("n") * F.greatest(F.col("ratio") - STRONG, F.lit(0.0))))
+    features = [F.sum(F.col("n") * F.col("ratio")) / chars, F.greatest(F.max("ratio"), F.lit(0.0)), excess, F.log1p(chars)]
+    texts = words.join(ratios, "word").groupBy("_k1", "_k2").agg(*[x.alias(c) for x, c in zip(features, FEATURES)])
     rows = rows.select("_row", *row_key("_row.doc_id", "_row.text")).join(texts, ["_k1", "_k2"], "left")
     return rows.select("_row", F.struct(*[F.coalesce(c, F.lit(0.0)).alias(c) for c in FEATURES]).alias("_text"))
 
