@@ -1,12 +1,14 @@
 """Byte-level BPE by replaying the merges over all words at once, and decoding.
 
 Each task takes its share of the corpus, cuts the texts into pieces with the tokenizer's pattern,
-and gathers the distinct pieces. All of them lie behind one another in one array of token numbers,
-with links to the neighbours. An inverted index leads from the rank of a pair to the places where
-it stands; merges are applied in rank order, each to all its places at once, and only the
-neighbours of a place that was merged are looked up again. The pieces' token ids are then put in
-the places of the pieces. The result does not depend on how the corpus was shared out, so nothing
-is shuffled, and a task that is lost is simply run again.
+and gathers the distinct pieces that it has not met before. All of them lie behind one another in
+one array of token numbers, with links to the neighbours. An inverted index leads from the rank of
+a pair to the places where it stands; merges are applied in rank order, each to all its places at
+once, and only the neighbours of a place that was merged are looked up again. The pieces' token ids
+are then put in the places of the pieces. A task keeps the ids of up to ``KEPT`` pieces from one chunk of
+texts to the next, the first that it met, so common pieces are replayed once a task. The result
+does not depend on how the corpus was shared out, so nothing is shuffled, and a task that is lost
+is simply run again.
 """
 
 from __future__ import annotations
@@ -23,7 +25,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 4_000_000
+CHUNK_CHARS = 4_000_000
+REPLAY_BYTES = 2_000_000
+KEPT, LONGEST = 200_000, 64
 
 
 @lru_cache(maxsize=4)
@@ -32,6 +36,19 @@ def _ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
 
 
+@lru_cache(maxsize=2)
+def _pairs(path: str) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of tokens that merge, as sorted codes, and their ranks."""
+    ranks, found = _ranks(path), {}
+    for token, rank in ranks.items():
+        for cut in range(1, len(token)):
+            left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
+            if left is not None and right is not None:
+                found[(left << 32) | right] = rank
+    codes = np.array(sorted(found), np.int64)
+    return codes, np.array([found[c] for c in codes.tolist()], np.int64)
+
+
 class MergeReplay:
     """Encodes sets of distinct pieces by the ranks in ``path``."""
 
@@ -39,25 +56,31 @@ class MergeReplay:
         self.rank = _ranks(path)
         self.bytes = {i: token for token, i in self.rank.items()}
         self.single = np.array([self.rank[bytes([i])] for i in range(256)], np.int64)
-        self.pair_rank: dict[tuple[int, int], int] = {}
+        self.codes, self.code_ranks = _pairs(path)
 
     def _look_up(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """Rank of each pair of tokens, -1 where there is none; each distinct pair is looked up once."""
-        codes, inverse = np.unique((left << 32) | right, return_inverse=True)
-        found = np.empty(len(codes), np.int64)
-        known, tokens, ranks = self.pair_rank, self.bytes, self.rank
-        for i, code in enumerate(codes.tolist()):
-            if code not in known:
-                known[code] = ranks.get(tokens[code >> 32] + tokens[code & 0xFFFFFFFF], -1)
-            found[i] = known[code]
-        return found[inverse]
-
-    def encode(self, pieces: list[bytes]) -> list[np.ndarray]:
-        """Token ids of each piece."""
+        """Rank of each pair of tokens, -1 where there is none."""
+        if not len(self.codes):
+            return np.full(len(left), -1)
+        wanted = (left << 32) | right
+        at = np.minimum(np.searchsorted(self.codes, wanted), len(self.codes) - 1)
+        return np.where(self.codes[at] == wanted, self.code_ranks[at], -1)
+
+    def encode(self, pieces: list[bytes]) -> list[list[int]]:
+        """Token ids of each piece; about ``REPLAY_BYTES`` are replayed together."""
+        out, lo, size = [], 0, 0
+        for hi, piece in enumerate(pieces, 1):
+            size += len(piece)
+            if size >= REPLAY_BYTES or hi == len(pieces):
+                out += self._replay(pieces[lo:hi])
+                lo, size = hi, 0
+        return out
+
+    def _replay(self, pieces: list[bytes]) -> list[list[int]]:
         lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
         size = int(lengths.sum())
         if not size:
-            return [np.zeros(0, np.int64) for _ in pieces]
+            return [[] for _ in pieces]
         token = np.append(self.single[np.frombuffer(b"".join(pieces), np.uint8)], -1)
         piece = np.append(np.repeat(np.arange(len(pieces)), lengths), -1)
         after = np.arange(1, size + 2)  # places to the right and to the left that still hold a token
@@ -85,8 +108,8 @@ class MergeReplay:
         enter(np.arange(size))
         while queue:
             rank = heapq.heappop(queue)
-            at = np.unique(np.concatenate(index.pop(rank)))
-            at = at[(token[at] >= 0) & (piece[at] == piece[np.minimum(after[at], size)])]
+            at = np.sort(np.concatenate(index.pop(rank)))
+            at = at[(token[at] >= 0) & (piece[at] == piece[np.minimum(after[at], size)]) & np.append(True, at[1:] != at[:-1])]
             at = at[self._look_up(token[at], token[after[at]]) == rank]  # others have changed meanwhile
             if not len(at):
                 continue
@@ -100,46 +123,79 @@ class MergeReplay:
             after[at] = after[gone]
             before[np.minimum(after[at], size)] = at
             left = before[at]
-            enter(np.unique(np.concatenate([at, left[left >= 0]])))
+            enter(np.concatenate([at, np.setdiff1d(left[left >= 0], at, assume_unique=True)]))
         kept = token[:size] >= 0
-        counts = np.bincount(piece[:size][kept], minlength=len(pieces))
-        return np.split(token[:size][kept], np.cumsum(counts)[:-1])
+        ends = np.cumsum(np.bincount(piece[:size][kept], minlength=len(pieces))).tolist()
+        ids = token[:size][kept].tolist()
+        return [ids[a:b] for a, b in zip([0, *ends], ends)]
 
 
-def _encoded(path: str, pattern: str):
-    cut = regex.compile(pattern)
+class _Codes(dict):
+    """Numbers of pieces, and what each becomes: how many ids, the ids as text, the bytes they decode to."""
+
+    def __init__(self, replay: MergeReplay):
+        super().__init__()
+        self.replay, self.new = replay, []
+        self.sizes, self.shown, self.plain = [], [], []
+
+    def __missing__(self, piece: str) -> int:
+        number = self[piece] = len(self)
+        self.new.append(piece)
+        return number
 
-    def chunk(replay: MergeReplay, texts: list[str]) -> pd.DataFrame:
-        numbers: dict[str, int] = {}
-        lines = [[numbers.setdefault(w, len(numbers)) for w in cut.findall(text)] for text in texts]
-        pieces = [w.encode() for w in numbers]
+    def encode_new(self) -> None:
+        replay = self.replay
+        pieces = [w.encode() for w in self.new]
         whole = [replay.rank.get(w) for w in pieces]  # a piece that is a token is that token
         rest = iter(replay.encode([w for w, one in zip(pieces, whole) if one is None]))
-        ids = [[one] if one is not None else next(rest).tolist() for one in whole]
-        size = np.array([len(x) for x in ids], np.int64)
-        shown = [" ".join(map(str, x)) for x in ids]
-        plain = [b"".join([replay.bytes[i] for i in x]) for x in ids]
-        return pd.DataFrame(
+        for one in whole:
+            ids = [one] if one is not None else next(rest)
+            self.sizes.append(len(ids))
+            self.shown.append(" ".join(map(str, ids)))
+            self.plain.append(b"".join([replay.bytes[i] for i in ids]))
+        self.new = []
+
+    def forget(self) -> None:
+        """Keeps the first ``KEPT`` pieces but very long ones."""
+        if len(self) <= KEPT:
+            return
+        kept = [(w, i) for w, i in self.items() if len(w) <= LONGEST][:KEPT]
+        for values in (self.sizes, self.shown, self.plain):
+            values[:] = [values[i] for _, i in kept]
+        self.clear()
+        self.update((w, n) for n, (w, _) in enumerate(kept))
+
+
+def _encoded(path: str, pattern: str):
+    cut = regex.compile(pattern)
+
+    def chunk(codes: _Codes, texts: list[str]) -> pd.DataFrame:
+        lines = [[*map(codes.__getitem__, cut.findall(text))] for text in texts]
+        codes.encode_new()
+        sizes, shown, plain = codes.sizes.__getitem__, codes.shown.__getitem__, codes.plain.__getitem__
+        frame = pd.DataFrame(
             {
-                "n_tokens": [int(size[line].sum()) if line else 0 for line in lines],
-                "ids": [" ".join([shown[i] for i in line]) for line in lines],
-                "decoded": [b"".join([plain[i] for i in line]) for line in lines],
+                "n_tokens": [sum(map(sizes, line)) for line in lines],
+                "ids": [" ".join(map(shown, line)) for line in lines],
+                "decoded": [b"".join(map(plain, line)) for line in lines],
             }
         )
+        codes.forget()
+        return frame
 
     def batches(columns: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        replay = MergeReplay(path)
+        codes = _Codes(MergeReplay(path))
         for texts in columns:
             out, held, size = [], [], 0
             for text in texts:
                 held.append(text or "")
                 size += len(held[-1])
-                if size > CHUNK_BYTES:
-                    out.append(chunk(replay, held))
+                if size > CHUNK_CHARS:
+                    out.append(chunk(codes, held))
                     held, size = [], 0
             if held or not out:
-                out.append(chunk(replay, held))
-            yield pd.concat(out, ignore_index=True)
+                out.append(chunk(codes, held))
+            yield pd.concat(out, ignore_index=True) if len(out) > 1 else out[0]
 
     return batches
 

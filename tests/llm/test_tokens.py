@@ -24,13 +24,24 @@ def pieces_of(texts):
 @given(st.lists(st.text(max_size=60), max_size=8))
 def test_replay_on_any_text(texts):
     pieces = [p.encode() for p in pieces_of(texts)]
-    assert [x.tolist() for x in REPLAY.encode(pieces)] == [TIKTOKEN._core_bpe.encode_single_piece(p) for p in pieces]
+    assert REPLAY.encode(pieces) == [TIKTOKEN._core_bpe.encode_single_piece(p) for p in pieces]
 
 
 def test_replay_on_repetitive_words():
     rng = random.Random(2)
     pieces = list({bytes(rng.choices(b"aabcehnrst", k=rng.randrange(1, 25))) for _ in range(5000)})
-    assert [x.tolist() for x in REPLAY.encode(pieces)] == [TIKTOKEN._core_bpe.encode_single_piece(p) for p in pieces]
+    assert REPLAY.encode(pieces) == [TIKTOKEN._core_bpe.encode_single_piece(p) for p in pieces]
+
+
+def test_pieces_forgotten_between_chunks(monkeypatch):
+    monkeypatch.setattr(mergereplay, "KEPT", 50)
+    monkeypatch.setattr(mergereplay, "CHUNK_CHARS", 300)
+    monkeypatch.setattr(mergereplay, "REPLAY_BYTES", 100)
+    rng = random.Random(4)
+    texts = [" ".join("".join(rng.choices("abcehnrst", k=rng.randrange(1, 9))) for _ in range(40)) for _ in range(60)] + ["q" * 900, "", None]
+    frames = mergereplay._encoded(PATH, PATTERN)(iter([mergereplay.pd.Series(texts[:50]), mergereplay.pd.Series(texts[50:])]))
+    got = [ids for frame in frames for ids in frame["ids"]]
+    assert got == [" ".join(map(str, TIKTOKEN.encode_ordinary(t or ""))) for t in texts]
 
 
 def digests(text):
