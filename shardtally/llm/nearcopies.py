@@ -108,7 +108,7 @@ def _sets(texts: list[bytes], memo: Hashes, size: int):
 
 
 def _sketches(size: int):
-    def chunk(ids: list, keys: list, texts: list[bytes], memo: Hashes) -> pd.DataFrame:
+    def chunk(keys: list, texts: list[bytes], memo: Hashes) -> pd.DataFrame:
         elements, doc = _sets(texts, memo, size)
         n = np.bincount(doc, minlength=len(texts))
         begin = np.concatenate([[0], np.cumsum(n)])
@@ -124,30 +124,29 @@ def _sketches(size: int):
             bands += list(band.view(np.int64))
         return pd.DataFrame(
             {
-                "doc_id": pd.array(ids, "Int64"),
-                "_k1": [k[0] for k in keys],
-                "_k2": [k[1] for k in keys],
+                "_no_id": [k[0] for k in keys],
+                "_k1": [k[1] for k in keys],
+                "_k2": [k[2] for k in keys],
                 "n": n,
-                "node": pd.array(node, "Int64").copy() if n.all() else pd.array([x if y else None for x, y in zip(node.tolist(), n)], "Int64"),
+                "node": node,
                 "bands": [x if y else [] for x, y in zip(bands, n)],
             }
         )
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memo = Hashes()
-        ids, keys, texts, held = [], [], [], 0
+        keys, texts, held = [], [], 0
         for batch in batches:
-            for doc_id, k1, k2, text in zip(batch["_id"].astype("Int64"), batch["_k1"], batch["_k2"], batch["_text"]):
+            for no_id, k1, k2, text in zip(batch["_no_id"], batch["_k1"], batch["_k2"], batch["_text"]):
                 raw = (text or "").encode()
-                ids.append(None if doc_id is pd.NA else doc_id)
-                keys.append((k1, k2))
+                keys.append((no_id, k1, k2))
                 texts.append(raw)
                 held += len(raw)
                 if held > CHUNK_BYTES:
-                    yield chunk(ids, keys, texts, memo)
-                    ids, keys, texts, held = [], [], [], 0
-        if ids:
-            yield chunk(ids, keys, texts, memo)
+                    yield chunk(keys, texts, memo)
+                    keys, texts, held = [], [], 0
+        if keys:
+            yield chunk(keys, texts, memo)
 
     return rows
 
@@ -276,9 +275,10 @@ def near_copies(docs: DataFrame, size: int = 5, percent: int = PERCENT) -> DataF
 
 def grouped(docs: DataFrame, size: int = 5, percent: int = PERCENT) -> DataFrame:
     """``near_copies`` with the row keys ``_k1, _k2`` (see ``row_key``) and ``_group``, a number of each group (null for texts linked with nothing)."""
-    keyed = docs.select(F.col("doc_id").cast("long").alias("_id"), *row_key(), F.col("text").alias("_text"))
-    schema = "doc_id long, _k1 long, _k2 long, n long, node long, bands array<long>"
-    sketch = stored(keyed.mapInPandas(_sketches(size), schema), "sketch")
+    # a nullable long would become a double in pandas: a row's id is its _k1, where it has one
+    keyed = docs.select(F.col("doc_id").cast("long").isNull().alias("_no_id"), *row_key(), F.col("text").alias("_text"))
+    sketch = keyed.mapInPandas(_sketches(size), "_no_id boolean, _k1 long, _k2 long, n long, node long, bands array<long>")
+    sketch = stored(sketch.select(F.when(~F.col("_no_id"), F.col("_k1")).alias("doc_id"), "_k1", "_k2", "n", "node", "bands"), "sketch")
     full = sketch.where("n > 0")
     classes = full.groupBy("node").agg(
         F.min("doc_id").alias("smallest"), F.min("_k1").alias("_k1"), F.min_by("_k2", "_k1").alias("_k2"), F.first("bands").alias("bands")

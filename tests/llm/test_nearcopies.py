@@ -61,6 +61,14 @@ def test_like_brute_force(spark):
         assert sorted([tuple(r) for r in got], key=str) == brute(rows, size)
 
 
+def test_large_ids_beside_null_ones(spark):
+    ship(spark)
+    big = 2**60
+    rows = [(big + 1, "a b c d"), (big + 2, "a b c d"), (None, "a b c d"), (big + 3, "own words here"), (None, "only null"), (-(2**63), "least of all"), (2**63 - 1, "least of all"), (big + 5, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert sorted([tuple(r) for r in nearcopies.near_copies(docs, size=2).collect()], key=str) == brute(rows, 2)
+
+
 def test_whole_table(spark):
     from shardtally.llm.queries import op9_minhash_near_dedup
 
