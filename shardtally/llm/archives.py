@@ -22,12 +22,14 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shardtally.llm.common import longs
 from shardtally.sources.workspace import stored
 
 ARCHIVE_BYTES = 8_000_000
+SLICE = 16_384
 #: Fixed by the ARC format: the fields of a header line in either version.
 FIELDS = {
     1: "URL IP-address Archive-date Content-type Archive-length",
@@ -80,8 +82,8 @@ def _arcs(date: str):
             return out
 
         for batch in batches:
-            for page_id, url, html in zip(batch["page_id"].astype("Int64"), batch["url"], batch["html"]):
-                page_id = None if page_id is pd.NA else int(page_id)
+            for page_id, url, html in zip(batch["page_id"], batch["url"], batch["html"]):
+                page_id = None if page_id is None else int(page_id)
                 version = 1 + (page_id or 0) % 2
                 payload = (html or "").encode()
                 name = f"pages-{task}-{number}-v{version}.arc"
@@ -100,9 +102,14 @@ def _arcs(date: str):
     return rows
 
 
+def _text_id(column: str) -> Column:
+    """An id as decimal text: pandas would turn a nullable long into a double."""
+    return F.col(column).cast("long").cast("string").alias(column)
+
+
 def write_arc(pages: DataFrame, date: str = "20240101000000") -> DataFrame:
     """``archive, content`` of ``pages`` (page_id, url, html); even page_ids in version 1, odd ones in version 2."""
-    own = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
+    own = pages.select(_text_id("page_id"), "url", "html")
     return own.mapInPandas(_arcs(date), "archive string, content binary")
 
 
@@ -161,8 +168,16 @@ def _read_arcs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     columns = [c.split()[0] for c in RECORD.split(", ")]
     for batch in batches:
         for content in batch["content"]:
-            out = pd.DataFrame(list(arc_records(content or b"")), columns=columns)
-            yield out.assign(page_id=out["page_id"].astype("Int64"))
+            records = list(arc_records(content or b""))
+            yield pd.DataFrame({c: longs([r.get(c) for r in records]) if c == "page_id" else pd.Series([r.get(c) for r in records], dtype=object) for c in columns})
+
+
+def _read_digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for content in batch["content"]:
+            sound = [r for r in arc_records(content or b"") if r["error"] is None]
+            ids, sizes = longs([r["page_id"] for r in sound]), [len(r["payload"]) for r in sound]
+            yield pd.DataFrame({"page_id": ids, "payload_digest": pd.Series([r["payload_digest"] for r in sound], dtype=object), "payload_bytes": longs(sizes)})
 
 
 def read_arc(archives: DataFrame) -> DataFrame:
@@ -170,6 +185,11 @@ def read_arc(archives: DataFrame) -> DataFrame:
     return archives.select("content").mapInPandas(_read_arcs, RECORD)
 
 
+def read_digests(archives: DataFrame) -> DataFrame:
+    """page_id, digest and size of each sound record: what the choice of responses needs, without payloads."""
+    return archives.select("content").mapInPandas(_read_digests, "page_id long, payload_digest string, payload_bytes long")
+
+
 def record_uuid(digest: str, page_id: int | None) -> str:
     """A record's identifier follows from what it holds, so a rerun writes the same archives."""
     return f"urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{digest}/{page_id}')}"
@@ -183,7 +203,7 @@ def warc_date(archived: str | None) -> str:
 
 
 def warc_record(row) -> bytes:
-    page_id = None if pd.isna(row.page_id) else int(row.page_id)
+    page_id = None if row.page_id is None else int(row.page_id)
     revisit = row.record_type == "revisit"
     block = _http(page_id, row.payload) + (b"" if revisit else row.payload)
     lines = [
@@ -222,12 +242,17 @@ def _warcs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def warc_records(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(header fields, block) of each gzip member of a WARC file."""
-    while content:
-        unpacker = zlib.decompressobj(31)
-        data = unpacker.decompress(content)
-        content = unpacker.unused_data
-        head, _, rest = data.partition(b"\r\n\r\n")
+    """(header fields, block) of each gzip member of a WARC file, which is fed in slices: what a member leaves over is copied."""
+    content, at = memoryview(content), 0
+    while at < len(content):
+        unpacker, parts = zlib.decompressobj(31), []
+        while not unpacker.eof:
+            if at >= len(content):
+                raise ValueError("the archive ends within a record")
+            parts.append(unpacker.decompress(content[at : at + SLICE]))
+            at = min(at + SLICE, len(content))
+        at -= len(unpacker.unused_data)
+        head, _, rest = b"".join(parts).partition(b"\r\n\r\n")
         pairs = (line.partition(": ") for line in head.decode().split("\r\n")[1:])
         fields = {name: value for name, _, value in pairs}
         yield fields, rest[: int(fields["Content-Length"])]
@@ -246,24 +271,25 @@ def _read_warcs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 page = http.get(PAGE_FIELD.lower())
                 refers = fields.get("WARC-Refers-To")
                 out.append((int(page) if page else None, fields["WARC-Record-ID"].strip("<>"), fields["WARC-Type"], int(http["content-length"]), digest, refers and refers.strip("<>")))
-            frame = pd.DataFrame(out, columns=columns)
-            yield frame.assign(page_id=frame["page_id"].astype("Int64"))
+            frame = {c: pd.Series([r[i] for r in out], dtype=object) for i, c in enumerate(columns)}
+            yield pd.DataFrame(frame | {c: longs(frame[c]) for c in ("page_id", "payload_bytes")})
 
 
-def convert(records: DataFrame, least: int = 0) -> DataFrame:
-    """WARC archives (content binary) of ARC ``records``; those with an error are left out.
+def convert(archives: DataFrame, least: int = 0) -> DataFrame:
+    """WARC archives (content binary) of the records of ARC ``archives``; broken ones are left out.
 
     Of records with equal payloads of at least ``least`` bytes the one with the largest page_id is the
     response and others revisit it; smaller ones are all responses. Null ids revisit the largest
     other id, and are responses where there is none; repeated rows of the largest id are responses.
+    Digests are read in a pass of their own, which hands on no payloads; only payloads that occur more
+    than once are looked up in its outcome.
     """
-    sound = records.where("error is null")
-    large = F.length("payload") >= least
-    firsts = sound.where(large).groupBy("payload_digest").agg(F.max("page_id").alias("first_id"))
-    joined = sound.join(firsts, "payload_digest", "left").withColumn("first_id", F.when(large, F.col("first_id")))
-    kind = F.when(F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id")), "revisit").otherwise("response")
-    columns = ["page_id", "url", "ip", "archived", "payload", "payload_digest", "first_id"]
-    return joined.select(*columns, kind.alias("record_type")).mapInPandas(_warcs, "content binary")
+    digests = read_digests(archives).where(F.col("payload_bytes") >= least)
+    firsts = digests.groupBy("payload_digest").agg(F.max("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1").drop("n")
+    joined = read_arc(archives).where("error is null").join(firsts, "payload_digest", "left")
+    revisit = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
+    columns = [_text_id("page_id"), "url", "ip", "archived", "payload", "payload_digest", _text_id("first_id")]
+    return joined.select(*columns, F.when(revisit, "revisit").otherwise("response").alias("record_type")).mapInPandas(_warcs, "content binary")
 
 
 def read_warc(archives: DataFrame) -> DataFrame:
@@ -279,7 +305,8 @@ def read_warc(archives: DataFrame) -> DataFrame:
 def through_warc(pages: DataFrame, least: int = 0) -> DataFrame:
     """``page_id, payload_bytes, payload_digest, record_type, refers_to`` of ``pages`` written as ARC, converted and read back.
 
+    Repeated rows are records of their own: those of the largest id are all responses, others all revisits.
     Null html is an empty payload, null urls are written as ``-``; other columns are not looked at; an
     empty table gives an empty result.
     """
-    return read_warc(stored(convert(read_arc(write_arc(pages)), least), "warc"))
+    return read_warc(stored(convert(write_arc(pages), least), "warc"))

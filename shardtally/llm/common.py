@@ -6,6 +6,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
+import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
 
 def ship(spark: SparkSession) -> None:
     """Makes the package importable in the Python workers of this application."""
-    if int(spark.conf.get(BATCH_SETTING)) == 10_000:  # Spark's default
+    if BATCH_SETTING not in spark.conf.getAll:
         spark.conf.set(BATCH_SETTING, BATCH_ROWS)
     app = spark.sparkContext.applicationId
     if app in _shipped:
@@ -56,6 +57,11 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
     ]
 
 
+def longs(values: list[int | None]) -> pd.api.extensions.ExtensionArray:
+    """A nullable column of 64-bit integers for a result frame; no value passes through a double."""
+    return pd.array(values, dtype="Int64")
+
+
 class Hashes(dict):
     """64-bit hash of each word seen, as signed-free integers for numpy."""
 

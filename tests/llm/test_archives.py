@@ -27,6 +27,33 @@ def test_like_brute_force(spark):
     assert archives.through_warc(pages.limit(0)).count() == 0
 
 
+def test_large_ids_beside_null_ones_and_broken_records(spark):
+    ship(spark)
+    big = 2**60
+    rows = [(big + 1, "u", "same"), (big + 2, "u", "same"), (big + 3, "u", "own"), (None, "u", "same"), (None, "u", "null only"), (-(2**63), "u", "least"), (2**63 - 1, "u", "least")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    assert sorted(map(tuple, archives.through_warc(pages).collect()), key=str) == brute(rows)
+    files = archives.write_arc(pages).collect()
+    cut = [(bytes(f.content) + b"broken line\n",) for f in files] + [(None,), (b"",)]
+    broken = spark.createDataFrame(cut, "content binary").coalesce(1)
+    assert sorted((r.page_id for r in archives.read_arc(broken).where("error is null").collect()), key=str) == sorted((i for i, _, _ in rows), key=str)
+    assert archives.read_arc(broken).where("error is not null").count() == len(files)
+    out = archives.read_warc(archives.convert(broken)).collect()
+    assert sorted(map(tuple, out), key=str) == brute(rows)
+
+
+def test_members_longer_and_shorter_than_a_slice():
+    bodies = [b"", b"x", bytes(range(256)) * 400, b"y" * 5_000_000, b"z"]
+    members = [archives._gzip(b"WARC/1.0\r\nContent-Length: %d\r\n\r\n" % len(b) + b + b"\r\n\r\n") for b in bodies]
+    assert [block for _, block in archives.warc_records(b"".join(members))] == bodies
+    try:
+        list(archives.warc_records(b"".join(members)[:-3]))
+    except ValueError as error:
+        assert "ends within" in str(error)
+    else:
+        raise AssertionError("a cut archive was read")
+
+
 def test_whole_table(spark):
     from shardtally.llm.queries import op4_arc_to_warc
 
