@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from datetime import datetime, timedelta
 from urllib.parse import unquote
 
@@ -12,6 +14,7 @@ from shardtally import constants as C
 from shardtally.functions.text import extract
 from shardtally.functions.times import as_utc
 from shardtally.functions.windows import shard_name
+from shardtally.sources.folders import Folders
 
 
 def shard_day(table_name: Column | str) -> Column:
@@ -84,3 +87,80 @@ def apply_retention(
         if left := expired():
             raise RuntimeError(f"expired partitions of {table} are left: {sorted(left)}")
     return sorted(set(found.values()))
+
+
+def drop_expired_tables(
+    spark: SparkSession,
+    database: str,
+    as_of: datetime | None = None,
+    days: int = C.RETENTION_DAYS,
+    dry_run: bool = True,
+) -> list[str]:
+    """Drop the expired shard tables of a database that holds one table per day, of both families.
+
+    Returns their names; with ``dry_run`` nothing is dropped.  A table that is gone by the time
+    its turn comes is no error, so a run may follow one that broke off.  Raises if one is left.
+    """
+
+    def expired() -> list[str]:
+        listed = spark.sql(f"SHOW TABLES IN {database}").where(~F.col("isTemporary"))
+        names = listed.select(F.col("tableName").alias("table_name"))
+        return sorted(row.table_name for row in expired_shards(names, as_of, days).collect())
+
+    found = expired()
+    if found and not dry_run:
+        for name in found:
+            spark.sql(f"DROP TABLE IF EXISTS {database}.`{name}`")
+        if left := expired():
+            raise RuntimeError(f"expired tables of {database} are left: {left}")
+    return found
+
+
+def apply_retention_to_path(
+    spark: SparkSession,
+    path: str,
+    as_of: datetime | None = None,
+    days: int = C.RETENTION_DAYS,
+    prefix: str = C.INTRADAY_PREFIX,
+    dry_run: bool = True,
+) -> list[str]:
+    """Delete the expired shards of a bare folder, through the file system that its path names.
+
+    A shard is a folder named like a shard table (``events_20240301``, ``events_intraday_20240301``:
+    both families at once) or a partition ``shard=20240301``, which ``prefix`` gives its name.  Either
+    may lie below other partitions (``kind=a/shard=20240301``) or hold some; only folder names are
+    read, one listing per partition above a shard.  A folder first gets a name that readers skip, in
+    one step, and is then deleted; a later run deletes what one that broke off has left under such a name.
+
+    Returns each shard's name once; with ``dry_run`` nothing is changed.  Raises if an expired shard is left.
+    """
+    folders = Folders(spark)
+
+    def expired() -> dict[str, str]:
+        found = dict(_shard_folders(folders, path, prefix))
+        if not found:
+            return found
+        names = spark.createDataFrame(list(found.items()), "folder string, table_name string")
+        return {row.folder: row.table_name for row in expired_shards(names, as_of, days).collect()}
+
+    found = expired()
+    if not dry_run:
+        for folder in sorted(found):
+            folders.hide(folder)
+        for folder in folders.hidden(path, lambda name: "=" in name):
+            folders.delete(folder)
+        if left := expired():
+            raise RuntimeError(f"expired shards are left: {sorted(left)}")
+    return sorted(set(found.values()))
+
+
+def _shard_folders(folders: Folders, path: str, prefix: str) -> Iterator[tuple[str, str]]:
+    """(folder, name) of each shard under ``path``."""
+    for folder, name in folders.under(path):
+        key, equals, value = name.partition("=")
+        if re.search(C.SHARD_TABLE_PATTERN, name):
+            yield folder, name
+        elif key == "shard":
+            yield folder, prefix + unquote(value)
+        elif equals:
+            yield from _shard_folders(folders, folder, prefix)

@@ -88,3 +88,72 @@ def test_apply_retention_drops_partitions_only_when_told(spark):
         assert retention.apply_retention(spark, "app_events", AS_OF, dry_run=False) == []
     finally:
         spark.sql("DROP TABLE IF EXISTS app_events")
+
+
+def test_database_of_shard_tables_of_both_families(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS day_tables")
+    names = [prefix + day for prefix in ("events_", "events_intraday_") for day in DAYS] + ["users", "events_fresh_20240101"]
+    try:
+        for name in names:
+            spark.sql(f"CREATE TABLE day_tables.{name} (x INT) USING parquet")
+        expired = ["events_20240302", "events_20240303", "events_intraday_20240302", "events_intraday_20240303"]
+        assert retention.drop_expired_tables(spark, "day_tables", AS_OF) == expired
+        assert spark.sql("SHOW TABLES IN day_tables").count() == len(names)
+        assert retention.drop_expired_tables(spark, "day_tables", AS_OF, dry_run=False) == expired
+        left = {r.tableName for r in spark.sql("SHOW TABLES IN day_tables").collect()}
+        assert left == set(names) - set(expired)
+        assert retention.drop_expired_tables(spark, "day_tables", AS_OF, dry_run=False) == []
+    finally:
+        spark.sql("DROP DATABASE day_tables CASCADE")
+
+
+def folder_of(spark, tmp_path, *partitions):
+    path = str(tmp_path / "events")
+    df = events(spark, [event("e") | {"shard": day} for day in DAYS])
+    kinds = df.withColumn("kind", F.explode(F.array(F.lit("a"), F.lit("b c"))))
+    kinds.write.partitionBy(*partitions).parquet(path)
+    return path
+
+
+@pytest.mark.parametrize("partitions", [["shard"], ["shard", "kind"], ["kind", "shard"]])
+def test_path_of_partitions(spark, tmp_path, partitions):
+    path = folder_of(spark, tmp_path, *partitions)
+    expired = ["events_intraday_20240302", "events_intraday_20240303"]
+    assert retention.apply_retention_to_path(spark, path, AS_OF) == expired
+    assert spark.read.parquet(path).count() == 8
+    assert retention.apply_retention_to_path(spark, path, AS_OF, dry_run=False) == expired
+    left = spark.read.parquet(path).groupBy("shard").count().collect()
+    assert {str(r.shard): r["count"] for r in left} == {"20240304": 2, "20240801": 2}
+    assert retention.apply_retention_to_path(spark, path, AS_OF, dry_run=False) == []
+    assert not [p for p in (tmp_path / "events").rglob("*") if "2024030" in p.name and "20240304" not in p.name]
+
+
+def test_path_of_shard_folders_of_both_families(spark, tmp_path):
+    for prefix in ("events_", "events_intraday_"):
+        for day in DAYS:
+            (tmp_path / f"{prefix}{day}" / "hour=01").mkdir(parents=True)
+            (tmp_path / f"{prefix}{day}" / "hour=01" / "part-0").write_text("x")
+    for other in ("users", "events_fresh_20240101", "_events_20240101", "events_20240101_copy"):
+        (tmp_path / other).mkdir()
+    (tmp_path / "events_20240301").write_text("a file is no shard")
+    expired = ["events_20240302", "events_20240303", "events_intraday_20240302", "events_intraday_20240303"]
+    assert retention.apply_retention_to_path(spark, str(tmp_path), AS_OF) == expired
+    assert retention.apply_retention_to_path(spark, str(tmp_path), AS_OF, dry_run=False) == expired
+    left = {p.name for p in tmp_path.iterdir()}
+    kept = {prefix + day for prefix in ("events_", "events_intraday_") for day in DAYS[2:]}
+    assert left == kept | {"users", "events_fresh_20240101", "_events_20240101", "events_20240101_copy", "events_20240301"}
+
+
+def test_run_after_one_that_broke_off(spark, tmp_path, monkeypatch):
+    path = folder_of(spark, tmp_path, "kind", "shard")
+    with monkeypatch.context() as broken:
+        broken.setattr(retention.Folders, "delete", lambda self, folder: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError, match="lost"):
+            retention.apply_retention_to_path(spark, path, AS_OF, dry_run=False)
+    assert spark.read.parquet(path).count() == 4  # nothing expired is visible, though nothing is deleted yet
+    assert retention.apply_retention_to_path(spark, path, AS_OF, dry_run=False) == []
+    assert not list((tmp_path / "events").rglob("_expired-*"))
+
+
+def test_path_that_does_not_exist(spark, tmp_path):
+    assert retention.apply_retention_to_path(spark, str(tmp_path / "none"), AS_OF, dry_run=False) == []
