@@ -12,7 +12,7 @@ from shardtally.checks.registry import Tables, check
 from shardtally.functions import windows
 from shardtally.functions.keyvalue import param, prop
 from shardtally.functions.times import iso_second
-from shardtally.operators import activity, audience, extract, flatten, funnel, retention
+from shardtally.operators import activity, audience, distinct, extract, flatten, funnel, retention
 from shardtally.plans import reports
 from shardtally.sources.events import in_window
 
@@ -348,6 +348,23 @@ def active_users(t):
     return activity.active_users(activity.notification_screen_views(t.events))
 
 
+@check(
+    "active_users_state",
+    f""", viewed AS (SELECT {O.DAY_DATE} AS d, user_pseudo_id, user_id FROM ev WHERE {O.IS_VIEW})"""
+    + _ACTIVE,
+)
+def active_users_state(t):
+    """State of two runs, the second over later days and a day of the first again."""
+    views = activity.notification_screen_views(t.events)
+    runs = [views.where("shard <= '20240315'"), views.where("shard >= '20240315'")]
+    users = names = None
+    states = []
+    for run in runs:
+        users, names = (distinct.number_values(run.select(c), n) for c, n in (("user_pseudo_id", users), ("user_id", names)))
+        states.append(distinct.daily_users(run, users, names))
+    return distinct.active_users(distinct.merged(*states))
+
+
 _EXTRACT = f""" SELECT event_timestamp,
     strftime(make_timestamp(event_timestamp), '%Y-%m-%dT%H:%M:%SZ') AS event_datetime,
     strftime(make_timestamp(event_timestamp), '%Y-%m-%d') AS event_date,
