@@ -12,7 +12,7 @@ from shardtally.checks.registry import Tables, check
 from shardtally.functions import windows
 from shardtally.functions.keyvalue import param, prop
 from shardtally.functions.times import iso_second
-from shardtally.operators import activity, audience, distinct, extract, flatten, funnel, retention
+from shardtally.operators import activity, audience, daily, distinct, extract, flatten, funnel, retention
 from shardtally.plans import reports
 from shardtally.sources.events import in_window
 
@@ -122,6 +122,12 @@ def internal_users(t):
     return audience.internal_users(*t.all, LAST_MONTH)
 
 
+@check("internal_users_marks", f" SELECT DISTINCT user_pseudo_id FROM internal_seen WHERE {O.MARCH}")
+def internal_users_marks(t):
+    """From the daily marks of all events, of which the window's are read."""
+    return daily.internal_users(daily.user_marks(t.events), t.sessions, t.phones, LAST_MONTH)
+
+
 @check("flagged_users", f" SELECT DISTINCT user_pseudo_id FROM demo_seen WHERE {O.MARCH}")
 def flagged_users(t):
     return audience.flagged_users(t.events, LAST_MONTH)
@@ -339,6 +345,13 @@ def monthly_action_pivot(t):
     return activity.monthly_action_pivot(activity.notification_clicks(t.events))
 
 
+@check("named_like", f" SELECT event_id, event_name FROM ev WHERE event_name LIKE '{C.NOTIFICATION_PATTERN}'")
+def named_like(t):
+    """With the names of the shards up to April only: later ones are read by the pattern."""
+    names = daily.event_names(t.events.where("shard < '20240401'"))
+    return daily.named_like(t.events, C.NOTIFICATION_PATTERN, names).select("event_id", "event_name")
+
+
 @check(
     "active_users",
     f""", viewed AS (SELECT {O.DAY_DATE} AS d, user_pseudo_id, user_id FROM ev WHERE {O.IS_VIEW})"""

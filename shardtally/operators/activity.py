@@ -19,13 +19,16 @@ from shardtally.functions.keyvalue import evaluate_once, param, prop
 from shardtally.functions.numbers import percentage, ratio
 from shardtally.functions.times import event_date, event_month, month_text
 from shardtally.operators.audience import USER, exclude_users
+from shardtally.operators.daily import named_like
 
 MONTH = "event_month"
 
 
-def notification_clicks(events: DataFrame, strict: bool = False) -> DataFrame:
-    """Clicks on push notifications, with their ``action``."""
-    named = events.where(F.col("event_name").like(C.NOTIFICATION_PATTERN))
+def notification_clicks(
+    events: DataFrame, strict: bool = False, names: DataFrame | None = None
+) -> DataFrame:
+    """Clicks on push notifications, with their ``action`` (``names``: see ``daily.named_like``)."""
+    named = named_like(events, C.NOTIFICATION_PATTERN, names)
     known = evaluate_once(
         named,
         __event_type=param("event_params", "event_type", strict=strict),
@@ -38,18 +41,24 @@ def notification_clicks(events: DataFrame, strict: bool = False) -> DataFrame:
     return known.where(is_click).drop("__event_type", "__screen")
 
 
-def notification_screen_views(events: DataFrame, strict: bool = False) -> DataFrame:
-    """Views of the notification screen."""
-    named = events.where(F.col("event_name").like(C.SCREEN_VIEW_PATTERN))
+def notification_screen_views(
+    events: DataFrame, strict: bool = False, names: DataFrame | None = None
+) -> DataFrame:
+    """Views of the notification screen (``names``: see ``daily.named_like``)."""
+    named = named_like(events, C.SCREEN_VIEW_PATTERN, names)
     screen = param("event_params", "firebase_screen_class", strict=strict)
     return named.where(screen == C.NOTIFICATION_SCREEN)
 
 
 def monthly_distinct_users(
-    events: DataFrame, excluded: DataFrame | None = None, key: str = "user_cid"
+    events: DataFrame,
+    excluded: DataFrame | None = None,
+    key: str = "user_cid",
+    strict: bool = False,
 ) -> DataFrame:
     """Distinct values of a user property per month (``yyyy-MM``)."""
-    ids = events.select(USER, month_text().alias(MONTH), prop(key).alias("connect_id")).distinct()
+    connect_id = prop(key, strict).alias("connect_id")
+    ids = events.select(USER, month_text().alias(MONTH), connect_id).distinct()
     return (
         exclude_users(ids, excluded)
         .groupBy(MONTH)
