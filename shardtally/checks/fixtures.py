@@ -26,6 +26,8 @@ PAGE_CYCLE = [*C.PAGES.values(), C.ACTIVITY_SCREEN]
 REASON_CYCLE = [*C.PHONE_ERRORS, *C.BIOMETRIC_ERRORS, C.LOCKOUT_REASON]
 ACTION_CYCLE = list(C.CLICK_ACTIONS.values())
 PACKAGE = "x" * (C.SCREEN_NAME_START - 1)
+#: Ids of copied events lie this far from those of their originals.
+COPIES_FROM = 1_000_000_000_000
 
 
 def _cycle(values: list[str], position: Column) -> Column:
@@ -36,20 +38,24 @@ def _numbered(prefix: str, number: Column) -> Column:
     return F.concat(F.lit(prefix), number.cast("string"))
 
 
-def _key_values(**values: Column) -> Column:
-    """Key/value array; an entry is left out when its value is NULL."""
+def _key_values(empty: Column, again: tuple[str, Column] | None = None, **values: Column) -> Column:
+    """Key/value array; an entry is left out when its value is NULL, all of them where ``empty`` holds.
+
+    ``again`` is one more entry at the end, whose key may be there before.
+    """
     entries = []
-    for key, value in values.items():
+    for key, value in [*values.items(), *([again] if again else [])]:
         is_int = key in ("ga_session_id", "ga_session_number", "value")
         slots = F.struct(
             (F.lit(None) if is_int else value).cast("string").alias("string_value"),
             (value if is_int else F.lit(None)).cast("long").alias("int_value"),
         )
         entries.append(F.struct(F.lit(key).alias("key"), slots.alias("value")))
-    return F.filter(
+    known = F.filter(
         F.array(*entries),
         lambda e: e["value"]["string_value"].isNotNull() | e["value"]["int_value"].isNotNull(),
-    ).cast(schema.KEY_VALUES)
+    )
+    return F.slice(known, 1, F.when(empty, 0).otherwise(len(entries))).cast(schema.KEY_VALUES)
 
 
 def events(spark: SparkSession, sf_dir: str, by_day: bool = False) -> DataFrame:
@@ -74,6 +80,7 @@ def events(spark: SparkSession, sf_dir: str, by_day: bool = False) -> DataFrame:
                 F.unix_micros(F.col("ts").cast("timestamp"))
                 + (row % 4) * 30 * F.lit(DAY_MICROS)
             ).alias("event_timestamp"),
+            F.explode(F.when(row % 20 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
         )
         .withColumn(
             "event_name",
@@ -92,22 +99,33 @@ def events(spark: SparkSession, sf_dir: str, by_day: bool = False) -> DataFrame:
     if by_day:
         base = base.hint("rebalance", "shard")
     is_click = name == "ccc_notification_type"
+    original = F.col("copy") == 0
+    page = _cycle(PAGE_CYCLE, k % 7)
     params = _key_values(
+        row % 101 == 11,
+        ("firebase_screen_class", F.when((name == C.SCREEN_VIEW) & (row % 53 == 5), C.NOTIFICATION_SCREEN)),
         ga_session_id=uid * 1000 + (row % 4) * 10 + k % 3,
         ga_session_number=row % 4 + 1,
         firebase_screen_class=F.when(
             is_click | ((made == "click") & (name == C.SCREEN_VIEW)), C.NOTIFICATION_SCREEN
         )
         .when((made == "signup") & (name == C.SCREEN_VIEW), PACKAGE + C.PAGES["phone_page"])
-        .when(made == "view", F.concat(F.lit(PACKAGE), _cycle(PAGE_CYCLE, k % 7))),
-        reason=F.when(made == "error", _cycle(REASON_CYCLE, k % 8)),
-        value=F.when(name == C.ACCOUNT_RECOVERED, F.when(k % 5 <= 1, 1).otherwise(0)),
+        .when(
+            (made == "view") & original,
+            F.concat(F.lit(PACKAGE), F.when(row % 7 == 3, F.upper(page)).otherwise(page)),
+        ),
+        reason=F.when(made == "error", _cycle(REASON_CYCLE, (k + F.col("copy")) % 8)),
+        value=F.when(
+            (name == C.ACCOUNT_RECOVERED) & original,
+            F.when(k % 5 <= 1, 1).when(k % 10 == 9, 2).otherwise(0),
+        ),
         event_type=F.when(
             is_click, F.when(k % 11 == 0, "other").otherwise(C.CLICK_EVENT_TYPE)
         ),
         action=F.when(is_click, _cycle(ACTION_CYCLE, k % 8)),
     )
     properties = _key_values(
+        row % 89 == 7,
         app_flavor=F.when(uid % 10 == 9, OTHER_FLAVOR).otherwise(C.PRODUCTION_FLAVOR),
         device_id=_numbered("d", uid),
         cchq_domain=F.when(uid % 23 == 5, None)
@@ -138,10 +156,10 @@ def events(spark: SparkSession, sf_dir: str, by_day: bool = False) -> DataFrame:
     )
     return base.select(
         "shard",
-        "event_id",
+        (row + F.col("copy") * F.lit(COPIES_FROM)).alias("event_id"),
         "event_name",
         "event_timestamp",
-        _numbered("p", uid).alias("user_pseudo_id"),
+        F.when(row % 178 != 7, _numbered("p", uid)).alias("user_pseudo_id"),
         F.when(k % 5 != 0, _numbered("u", uid)).alias("user_id"),
         params.alias("event_params"),
         properties.alias("user_properties"),
@@ -169,13 +187,6 @@ def internal_phones(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def shard_tables(events: DataFrame) -> DataFrame:
-    """Table names of a catalogue: intraday and final shards, and two other tables."""
-    days = events.select("shard").distinct()
-    names = F.array(
-        _numbered(C.INTRADAY_PREFIX, F.col("shard")),
-        _numbered(C.FINAL_PREFIX, F.col("shard")),
-        F.lit("events_fresh_20240101"),
-        F.lit("users"),
-    )
-    return days.select(F.explode(names).alias("table_name")).distinct()
+def other_tables(spark: SparkSession) -> DataFrame:
+    """Tables of a catalogue that are no shards."""
+    return spark.createDataFrame([("events_fresh_20240101",), ("users",)], "table_name string")

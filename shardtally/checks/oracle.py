@@ -24,10 +24,11 @@ def _entry(key: str, string: str = "NULL", integer: str = "NULL") -> str:
     )
 
 
-def _entries(*entries: str) -> str:
+def _entries(empty: str, *entries: str) -> str:
     return (
         f"list_filter([{', '.join(entries)}], lambda kv: "
         "kv.value.string_value IS NOT NULL OR kv.value.int_value IS NOT NULL)"
+        f"[1:CASE WHEN {empty} THEN 0 ELSE {len(entries)} END]"
     )
 
 
@@ -44,7 +45,8 @@ FIXTURES = f"""
 raw AS (
   SELECT event_id, event_type AS made, user_id AS uid,
          CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
-         epoch_us(ts) + (event_id % 4) * 30 * 86400000000 AS event_timestamp
+         epoch_us(ts) + (event_id % 4) * 30 * 86400000000 AS event_timestamp,
+         unnest(CASE WHEN event_id % 20 = 0 THEN [0, 1] ELSE [0] END) AS copy
   FROM events
 ),
 named AS (
@@ -63,22 +65,25 @@ named AS (
 ),
 ev AS (
   SELECT strftime(make_timestamp(event_timestamp), '%Y%m%d') AS shard,
-    event_id, event_name, event_timestamp,
-    'p' || uid AS user_pseudo_id,
+    event_id + copy * {fixtures.COPIES_FROM} AS event_id, event_name, event_timestamp,
+    CASE WHEN event_id % 178 <> 7 THEN 'p' || uid END AS user_pseudo_id,
     CASE WHEN k % 5 <> 0 THEN 'u' || uid END AS user_id,
     {_entries(
+      'event_id % 101 = 11',
       _entry('ga_session_id', integer='uid * 1000 + (event_id % 4) * 10 + k % 3'),
       _entry('ga_session_number', integer='event_id % 4 + 1'),
       _entry('firebase_screen_class', f'''CASE
         WHEN event_name = 'ccc_notification_type' OR (made = 'click' AND event_name = 'screen_view') THEN 'PushNotificationActivity'
         WHEN made = 'signup' AND event_name = 'screen_view' THEN {PREFIX34} || '{C.PAGES['phone_page']}'
-        WHEN made = 'view' THEN {PREFIX34} || {_pick('k % 7', _PAGES)} END'''),
-      _entry('reason', f"CASE WHEN made = 'error' THEN {_pick('k % 8', _REASONS)} END"),
-      _entry('value', integer=f"CASE WHEN event_name = '{C.ACCOUNT_RECOVERED}' THEN CASE WHEN k % 5 <= 1 THEN 1 ELSE 0 END END"),
+        WHEN made = 'view' AND copy = 0 THEN {PREFIX34} || CASE WHEN event_id % 7 = 3 THEN upper({_pick('k % 7', _PAGES)}) ELSE {_pick('k % 7', _PAGES)} END END'''),
+      _entry('reason', f"CASE WHEN made = 'error' THEN {_pick('(k + copy) % 8', _REASONS)} END"),
+      _entry('value', integer=f"CASE WHEN event_name = '{C.ACCOUNT_RECOVERED}' AND copy = 0 THEN CASE WHEN k % 5 <= 1 THEN 1 WHEN k % 10 = 9 THEN 2 ELSE 0 END END"),
       _entry('event_type', "CASE WHEN event_name = 'ccc_notification_type' THEN CASE WHEN k % 11 = 0 THEN 'other' ELSE 'click_notification' END END"),
       _entry('action', f"CASE WHEN event_name = 'ccc_notification_type' THEN {_pick('k % 8', _ACTIONS)} END"),
+      _entry('firebase_screen_class', "CASE WHEN event_name = 'screen_view' AND event_id % 53 = 5 THEN 'PushNotificationActivity' END"),
     )} AS event_params,
     {_entries(
+      'event_id % 89 = 7',
       _entry('app_flavor', f"CASE WHEN uid % 10 = 9 THEN '{fixtures.OTHER_FLAVOR}' ELSE '{C.PRODUCTION_FLAVOR}' END"),
       _entry('device_id', "'d' || uid"),
       _entry('cchq_domain', f'''CASE WHEN uid % 23 = 5 THEN NULL WHEN uid % 17 = 3 THEN '{fixtures.QA_DOMAIN}'

@@ -71,10 +71,10 @@ def scan_wildcard(t):
 
 @check(
     "shard_between_string",
-    " SELECT shard, event_id FROM ev WHERE shard BETWEEN '20240101' AND '20240430'",
+    " SELECT shard, event_id FROM ev WHERE shard BETWEEN '20240201' AND '20240415'",
 )
 def shard_between_string(t):
-    lo, hi = windows.history_to_date(AS_OF).shards
+    lo, hi = windows.history_to_date(MID_MONTH, months=2).shards
     return t.events.where(F.col("shard").between(lo, hi)).select("shard", ID)
 
 
@@ -369,13 +369,19 @@ def join_lateral_unnest(t):
 
 @check(
     "anti_join_null_aware",
-    """ SELECT event_id, user_id FROM ev
-    WHERE user_id NOT IN (SELECT user_id FROM ev WHERE event_name = 'ccc_api_jobs' AND user_id IS NOT NULL)""",
+    """ , callers AS (SELECT user_id FROM ev WHERE event_name = 'ccc_api_jobs')
+    SELECT event_id, user_id, 'known' AS ids FROM ev
+    WHERE user_id NOT IN (SELECT user_id FROM callers WHERE user_id IS NOT NULL)
+    UNION ALL SELECT event_id, user_id, 'with NULL' FROM ev WHERE user_id NOT IN (SELECT user_id FROM callers)
+    UNION ALL SELECT event_id, user_id, 'none' FROM ev WHERE user_id NOT IN (SELECT user_id FROM callers WHERE false)""",
 )
 def anti_join_null_aware(t):
+    """The ids without their NULLs, with them (no row stays), and no ids (all rows stay)."""
     callers = t.events.where(F.col("event_name") == C.API_EVENTS[0]).select("user_id")
     rows = t.events.select(ID, "user_id")
-    return audience.exclude_users(rows, callers.where("user_id IS NOT NULL"), "user_id")
+    lists = {"known": callers.where("user_id IS NOT NULL"), "with NULL": callers, "none": callers.where("false")}
+    parts = [audience.exclude_users(rows, ids, "user_id").withColumn("ids", F.lit(name)) for name, ids in lists.items()]
+    return parts[0].union(parts[1]).union(parts[2])
 
 
 # --- aggregations -------------------------------------------------------------------------
@@ -663,10 +669,10 @@ def str_regexp_extract(t):
 
 @check(
     "str_format",
-    " SELECT printf('%s of %s', event_name, user_pseudo_id) AS label FROM ev",
+    " SELECT printf('%s of %s', event_name, user_pseudo_id) AS label FROM ev WHERE user_pseudo_id IS NOT NULL",
 )
 def str_format(t):
-    return t.events.select(F.format_string("%s of %s", "event_name", "user_pseudo_id").alias("label"))
+    return t.events.where("user_pseudo_id IS NOT NULL").select(F.format_string("%s of %s", "event_name", "user_pseudo_id").alias("label"))
 
 
 @check("str_cast", " SELECT event_id, CAST(event_timestamp AS VARCHAR) AS micros FROM ev")

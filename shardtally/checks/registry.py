@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from functools import cached_property, lru_cache
+from functools import cached_property, lru_cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from shardtally import constants as C
 from shardtally.checks import fixtures, oracle
-from shardtally.sources.events import read_events
+from shardtally.sources.events import read_config_sessions, read_events, read_internal_phones, shard_tables
 from shardtally.sources.workspace import shared_folder
 
 
@@ -32,17 +33,31 @@ class Tables:
         derived.write.partitionBy("shard").parquet(path)
         return read_events(self.spark, path, more_fields=[T.StructField("event_id", T.LongType())])
 
+    def _written(self, name: str, df: DataFrame) -> str:
+        path = f"{shared_folder(self.spark)}/{name}-{uuid.uuid4().hex[:8]}"
+        df.write.parquet(path)
+        return path
+
     @cached_property
     def sessions(self) -> DataFrame:
-        return fixtures.config_sessions(self.spark, self.sf_dir)
+        path = self._written("sessions", fixtures.config_sessions(self.spark, self.sf_dir))
+        return read_config_sessions(self.spark, path)
 
     @cached_property
     def phones(self) -> DataFrame:
-        return fixtures.internal_phones(self.spark, self.sf_dir)
+        path = self._written("phones", fixtures.internal_phones(self.spark, self.sf_dir))
+        return read_internal_phones(self.spark, path)
 
     @cached_property
     def shards(self) -> DataFrame:
-        return fixtures.shard_tables(self.events)
+        """A catalogue's tables: both families of shards, from the partition list of the event table, and others."""
+        (path,) = {file.rsplit("/shard=", 1)[0] for file in self.events.inputFiles()}
+        name = f"events_{uuid.uuid4().hex[:8]}"
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.events.schema)
+        self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY (shard) LOCATION '{path}'")
+        self.spark.catalog.recoverPartitions(name)
+        families = (shard_tables(self.spark, name, prefix) for prefix in (C.INTRADAY_PREFIX, C.FINAL_PREFIX))
+        return reduce(DataFrame.union, families, fixtures.other_tables(self.spark))
 
     @property
     def all(self) -> tuple[DataFrame, DataFrame, DataFrame]:
