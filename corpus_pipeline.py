@@ -17,7 +17,12 @@ from shardtally.sources.workspace import stored
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, learned from the given documents' labels, does not reject."""
+    """Documents that the classifier, learned from the given documents' labels, does not reject.
+
+    Null and empty texts are scored as texts without words. Repeated rows get equal scores; null ids are never
+    learned from. Without labels of both classes nothing is rejected; an empty table stays empty. Columns
+    beyond those of documents pass unchanged.
+    """
     rows = quality.scored(docs, table(spark, sf_dir, "labels"))
     return rows.where(F.col("_score") >= quality.KEEP_AT).select("_row.*")
 
@@ -36,7 +41,11 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the windows of 35 words that repeat; untouched texts stay as they are, emptied ones go."""
+    """Texts without the windows of 35 words that repeat; untouched texts stay as they are, emptied ones go.
+
+    Null, empty and short texts hold no window and stay. Repeated rows are different places, so
+    their windows repeat; other columns pass unchanged; an empty table stays empty.
+    """
     rows = substrings.remove_repeats(docs)
     text = F.when(F.col("_cut.n_removed") > 0, F.col("_cut.kept")).otherwise(F.col("_row.text"))
     rows = rows.where("_cut.n_removed = 0 or _cut.n_removed < _cut.n_words").withColumn("_text", text)
@@ -47,12 +56,20 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mixture takes it."""
+    """Each document as often as the mixture takes it.
+
+    A null source is a source of its own, the last. Null and empty texts have no words, so the mixture
+    takes none of them. Repeated rows and null ids are taken like any others; an empty table stays empty.
+    """
     return mixing.mixed_documents(docs)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, source, n_tokens, ids: the mixture as token ids, which decode to the very text."""
+    """doc_id, source, n_tokens, ids: the mixture as token ids, which decode to the very text.
+
+    Null and empty texts have no ids; texts of any length are encoded whole; repeated rows each give a
+    row, null ids and sources stay null; an empty table gives an empty result.
+    """
     rows = mergereplay.encode_texts(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
     same = F.col("_code.decoded") == F.encode(F.coalesce("_row.text", F.lit("")), "utf-8")
     ids = F.when(same, F.col("_code.ids")).otherwise(F.raise_error(F.lit("the ids do not decode to the text")).cast("string"))
