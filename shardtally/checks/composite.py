@@ -194,6 +194,18 @@ def session_rollup(t):
     )
 
 
+@check("session_rollup_by_user", SESSIONS + " SELECT * FROM rolled")
+def session_rollup_by_user(t):
+    """From a table bucketed by user."""
+
+    def sessions(events: DataFrame) -> DataFrame:
+        started = events.where(audience.has_flavor())
+        return funnel.with_outcome(funnel.session_rollup(funnel.funnel_step_flags(funnel.funnel_events(started))))
+
+    columns = ["user_pseudo_id", "ga_session_id", *funnel.STEPS, "incorrect_backup_codes", *_last_times()]
+    return _dated(t.by_user.each(sessions), *columns)
+
+
 @check("final_state", SESSIONS + " SELECT user_pseudo_id, ga_session_id, final_state FROM sess")
 def final_state(t):
     return _sessions(t).select("user_pseudo_id", "ga_session_id", "final_state")

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from shardtally import constants as C
 from shardtally.checks import fixtures, oracle
+from shardtally.sources.by_user import ByUser, read_by_user, write_by_user
 from shardtally.sources.events import read_config_sessions, read_events, read_internal_phones, shard_tables
 from shardtally.sources.workspace import shared_folder
 
@@ -59,6 +60,13 @@ class Tables:
         families = (shard_tables(self.spark, name, prefix) for prefix in (C.INTRADAY_PREFIX, C.FINAL_PREFIX))
         return reduce(DataFrame.union, families, fixtures.other_tables(self.spark))
 
+    @cached_property
+    def by_user(self) -> ByUser:
+        """The event table once more, laid out by user."""
+        name = f"by_user_{uuid.uuid4().hex[:8]}"
+        write_by_user(self.events, name, 8, shared_folder(self.spark), share=0.05)
+        return read_by_user(self.spark, name)
+
     @property
     def all(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         return self.events, self.sessions, self.phones
