@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shardtally.llm.common import longs
+from shardtally.llm.common import lean, longs
 from shardtally.sources.workspace import stored
 
 ARCHIVE_BYTES = 8_000_000
@@ -69,6 +69,7 @@ def _http(page_id: int | None, payload: bytes) -> bytes:
 
 
 def _arcs(date: str):
+    @lean
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         task, number = TaskContext.get().partitionId(), 0
         held: dict[int, list[bytes]] = {}
@@ -164,6 +165,7 @@ def arc_records(content: bytes) -> Iterator[dict]:
         }
 
 
+@lean
 def _read_arcs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     columns = [c.split()[0] for c in RECORD.split(", ")]
     for batch in batches:
@@ -172,6 +174,7 @@ def _read_arcs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({c: longs([r.get(c) for r in records]) if c == "page_id" else pd.Series([r.get(c) for r in records], dtype=object) for c in columns})
 
 
+@lean
 def _read_digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for content in batch["content"]:
@@ -228,6 +231,7 @@ def _gzip(data: bytes) -> bytes:
     return packer.compress(data) + packer.flush()
 
 
+@lean
 def _warcs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     held, size = [], 0
     for batch in batches:
@@ -258,6 +262,7 @@ def warc_records(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         yield fields, rest[: int(fields["Content-Length"])]
 
 
+@lean
 def _read_warcs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     columns = ["page_id", "record_id", "record_type", "payload_bytes", "payload_digest", "refers_to_id"]
     for batch in batches:

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import zipfile
+from collections.abc import Callable, Iterator
+from contextlib import suppress
+from functools import wraps
 from pathlib import Path
 
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,14 +25,16 @@ MASK = (1 << 64) - 1
 _shipped: set[str] = set()
 
 
-#: Rows that go to a Python worker at once, where the session has not set it: whole texts are long.
-BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
+#: Bytes that go to a Python worker at once, where the session has not set it: texts may be long.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
+#: Words whose hashes a worker keeps.
+HASHES = 150_000
 
 
 def ship(spark: SparkSession) -> None:
     """Makes the package importable in the Python workers of this application."""
     if BATCH_SETTING not in spark.conf.getAll:
-        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
@@ -57,6 +65,30 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
     ]
 
 
+def release() -> None:
+    """Gives a worker's free memory back to the machine."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # other C libraries than glibc
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def lean(function: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``function`` (an iterator of batches to an iterator of results), after which the worker gives free memory back.
+
+    Workers wait for their next task, also one of another stage, with all that the last one has touched.
+    """
+
+    @wraps(function)
+    def rows(batches: Iterator) -> Iterator:
+        try:
+            yield from function(batches)
+        finally:
+            release()
+
+    return rows
+
+
 def longs(values: list[int | None]) -> pd.api.extensions.ExtensionArray:
     """A nullable column of 64-bit integers for a result frame; no value passes through a double."""
     return pd.array(values, dtype="Int64")
@@ -66,7 +98,7 @@ class Hashes(dict):
     """64-bit hash of each word seen, as signed-free integers for numpy."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) >= HASHES:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value

@@ -25,6 +25,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shardtally.llm.common import lean
+
 CHUNK_CHARS = 4_000_000
 REPLAY_BYTES = 2_000_000
 KEPT, LONGEST = 200_000, 64
@@ -183,6 +185,7 @@ def _encoded(path: str, pattern: str):
         codes.forget()
         return frame
 
+    @lean
     def batches(columns: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         codes = _Codes(MergeReplay(path))
         for texts in columns:

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shardtally.llm.common import Hashes
+from shardtally.llm.common import Hashes, lean
 
 WORDS = 2**14
 RANK = 8
@@ -164,6 +164,7 @@ def held_out(doc_id: str | Column = "doc_id") -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
+@lean
 def _rows_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     memo = Hashes()
     for batch in batches:
@@ -203,6 +204,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine |
 
 
 def _scores(machine: Machine):
+    @lean
     def rows(columns: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         memo = Hashes()
         for texts, n_chars in columns:

@@ -1,7 +1,12 @@
 """The factorisation machine: the identity, held-out accuracy, odd inputs."""
 
+import math
+import zlib
+from collections import Counter
+
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from shardtally.llm import quality
@@ -25,6 +30,34 @@ def test_sum_of_squares_equals_all_pairs():
         assert np.isclose(margins[i], own.bias + own.weight[at[lo:hi]] @ value[lo:hi] + pairs)
 
 
+def test_query_equals_all_pairs_of_the_stored_weights(spark):
+    """Every score of the query from the machine's weights, feature by feature and pair by pair."""
+    from shardtally.llm.queries import op2_quality_classifier
+
+    folder = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    own = quality.train(docs, labels)
+    got = {r.doc_id: r for r in op2_quality_classifier(spark, folder).collect()}
+    assert len(got) == docs.count()
+    for row in docs.collect():
+        raw = (row.text or "").encode()
+        counts = Counter(w.lower() for w in raw.split())
+        length = math.sqrt(sum(counts.values()))
+        features = [(xxhash.xxh3_64_intdigest(w) % quality.WORDS, math.sqrt(n) / max(length, 1e-9)) for w, n in counts.items()]
+        stats = quality.statistics_of(raw, raw.split(), Counter(raw.split()), row.n_chars)
+        share = 1 / math.sqrt(quality.STATISTICS)
+        for i, x in enumerate(stats):
+            features.append((quality.WORDS + i, min(max((x - own.mean[i]) / own.scale[i], -3), 3) * share / 3))
+            features.append((quality.WORDS + quality.STATISTICS + i * quality.BINS + sum(x > edge for edge in own.edges[i]), share))
+        at, value = np.array([f for f, _ in features]), np.array([v for _, v in features])
+        scaled = own.factor[at] * value[:, None]
+        pairs = np.triu(scaled @ scaled.T, 1).sum()
+        margin = own.bias + own.weight[at] @ value + pairs
+        assert got[row.doc_id].score == pytest.approx(1 / (1 + math.exp(-min(max(margin, -30), 30))), abs=1e-6)
+        assert got[row.doc_id].predicted == int(got[row.doc_id].score >= 0.3)
+        assert got[row.doc_id].held_out == (zlib.crc32(str(row.doc_id).encode()) % 5 == 0)
+
+
 def test_held_out_accuracy(spark):
     from shardtally.llm.queries import op2_quality_classifier
 
