@@ -148,6 +148,12 @@ def production_events(t):
     return audience.production_events(t.events).select("event_id", "user_pseudo_id")
 
 
+@check("production_events_promoted", f" SELECT event_id, user_pseudo_id FROM ev WHERE {O.IS_PRODUCTION}")
+def production_events_promoted(t):
+    """From files of which those of the last two months have promoted columns."""
+    return audience.production_events(t.promoted).select("event_id", "user_pseudo_id")
+
+
 # --- funnel -------------------------------------------------------------------------------
 
 

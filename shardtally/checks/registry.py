@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from shardtally import constants as C
 from shardtally.checks import fixtures, oracle
+from shardtally.sources import promoted
 from shardtally.sources.by_user import ByUser, read_by_user, write_by_user
 from shardtally.sources.events import read_config_sessions, read_events, read_internal_phones, shard_tables
 from shardtally.sources.workspace import shared_folder
@@ -67,6 +68,16 @@ class Tables:
         write_by_user(self.events, name, 8, shared_folder(self.spark), share=0.05)
         return read_by_user(self.spark, name)
 
+    @cached_property
+    def promoted(self) -> DataFrame:
+        """The event table once more, with promoted columns from March on."""
+        path = f"{shared_folder(self.spark)}/promoted-{uuid.uuid4().hex[:8]}"
+        new = promoted.promote(self.events.where("shard >= '20240301'"))
+        for part in (self.events.where("shard < '20240301'"), new):
+            part.write.mode("append").partitionBy("shard").parquet(path)
+        fields = [T.StructField("event_id", T.LongType()), *promoted.FIELDS]
+        return read_events(self.spark, path, more_fields=fields)
+
     @property
     def all(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         return self.events, self.sessions, self.phones

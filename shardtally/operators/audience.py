@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from shardtally import constants as C
 from shardtally.functions.keyvalue import evaluate_once, prop
 from shardtally.functions.windows import Window
+from shardtally.sources import promoted
 from shardtally.sources.events import in_window
 
 USER = "user_pseudo_id"
@@ -121,6 +122,16 @@ def has_flavor(flavor: str = C.PRODUCTION_FLAVOR, strict: bool = False) -> Colum
     return prop("app_flavor", strict) == flavor
 
 
+def of_flavor(
+    events: DataFrame, flavor: str = C.PRODUCTION_FLAVOR, strict: bool = False
+) -> DataFrame:
+    """Events of one app flavor."""
+    if not promoted.is_promoted(events, "app_flavor"):
+        return events.where(has_flavor(flavor, strict))
+    known = promoted.prune(events, {"app_flavor": flavor}, {})
+    return known.where(promoted.user_property(known, "app_flavor", strict) == flavor)
+
+
 def production_events(
     events: DataFrame,
     domains: Sequence[str] = C.NON_PRODUCTION_DOMAINS,
@@ -129,13 +140,30 @@ def production_events(
     strict: bool = False,
 ) -> DataFrame:
     """Events of production apps; an event without a domain or a server is not one."""
+    if promoted.is_promoted(events, "app_flavor", "server", "cchq_domain"):
+        # arrays are looked up for events of old files only, so a lookup may stand in several places
+        events = promoted.prune(events, {"app_flavor": flavor}, {"server": server})
+        found = (promoted.user_property(events, key, strict) for key in ("app_flavor", "server", "cchq_domain"))
+        return events.where(_is_production(*found, domains, server, flavor))
     known = evaluate_once(
         events,
         __flavor=prop("app_flavor", strict),
         __server=prop("server", strict),
         __domain=prop("cchq_domain", strict),
     )
-    wanted = (F.col("__flavor") == flavor) & (F.col("__server") != server)
-    for pattern in domains:
-        wanted &= ~F.col("__domain").like(pattern)
+    wanted = _is_production(F.col("__flavor"), F.col("__server"), F.col("__domain"), domains, server, flavor)
     return known.where(wanted).drop("__flavor", "__server", "__domain")
+
+
+def _is_production(
+    own_flavor: Column,
+    own_server: Column,
+    own_domain: Column,
+    domains: Sequence[str],
+    server: str,
+    flavor: str,
+) -> Column:
+    wanted = (own_flavor == flavor) & (own_server != server)
+    for pattern in domains:
+        wanted &= ~own_domain.like(pattern)
+    return wanted

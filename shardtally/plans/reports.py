@@ -34,7 +34,7 @@ def funnel_monthly(
         excluded = audience.internal_or_flagged_users(
             events, sessions, phones, window, strict=strict
         )
-    started = in_window(events, window).where(audience.has_flavor(strict=strict))
+    started = audience.of_flavor(in_window(events, window), strict=strict)
     rolled_up = funnel.session_rollup(funnel.funnel_step_flags(funnel.funnel_events(started)))
     outcomes = funnel.with_outcome(rolled_up)
     per_user = audience.exclude_users(funnel.outcome_users(outcomes), excluded)
@@ -58,7 +58,7 @@ def funnel_weekly(
         excluded = audience.internal_or_flagged_users(
             events, sessions, phones, window, strict=strict
         )
-    started = in_window(events, window).where(audience.has_flavor(strict=strict))
+    started = audience.of_flavor(in_window(events, window), strict=strict)
     labelled = funnel.compare_windows(funnel.funnel_events(started), as_of, window_days)
     flags = funnel.funnel_step_flags(labelled, carry=["recent_data"])
     rolled_up = funnel.session_rollup(flags, by=["recent_data"])

@@ -1,0 +1,65 @@
+"""Promoted columns: same rows, pruned scans, files of before."""
+
+import pytest
+
+from rows import PRODUCTION, at, event, events
+from shardtally import constants as C
+from shardtally.operators import audience
+from shardtally.sources import promoted
+from shardtally.sources.events import read_events
+
+PROPS = [
+    PRODUCTION,
+    PRODUCTION | {"app_flavor": "lts"},
+    PRODUCTION | {"server": C.STAGING_SERVER},
+    PRODUCTION | {"cchq_domain": "a-qa-b"},
+    {k: v for k, v in PRODUCTION.items() if k != "server"},
+    {k: v for k, v in PRODUCTION.items() if k != "app_flavor"},
+    PRODUCTION | {"cchq_domain": None},
+    {},
+]
+ROWS = [event("e", f"u{i}", at(2024, 3, 1 + i % 3), props=p) for i, p in enumerate(PROPS * 3)]
+ROWS.append(event("e", "twice", at(2024, 3, 2), props=[*PRODUCTION.items(), ("app_flavor", "lts")]))
+
+
+@pytest.fixture(params=[(), ("20240302",), ("20240301", "20240302", "20240303")])
+def mixed(request, spark, tmp_path):
+    """Events of which the files of some shards were promoted."""
+    df, path = events(spark, ROWS), str(tmp_path / "events")
+    new = df.shard.isin(*request.param)
+    for part in (df.where(~new), promoted.promote(df.where(new))):
+        part.write.mode("append").partitionBy("shard").parquet(path)
+    return df, read_events(spark, path, more_fields=promoted.FIELDS)
+
+
+def users(df):
+    return sorted(r.user_pseudo_id for r in df.collect())
+
+
+def test_same_events(mixed):
+    plain, files = mixed
+    assert users(audience.production_events(files)) == users(audience.production_events(plain)) != []
+    for flavor in (C.PRODUCTION_FLAVOR, "lts", "none"):
+        assert users(audience.of_flavor(files, flavor)) == users(plain.where(audience.has_flavor(flavor)))
+
+
+def test_conditions_reach_the_reader(spark, tmp_path):
+    path = str(tmp_path / "events")
+    promoted.promote(events(spark, ROWS)).write.partitionBy("shard").parquet(path)
+    files = read_events(spark, path, more_fields=promoted.FIELDS)
+    for df in (audience.production_events(files), audience.of_flavor(files)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        pushed = plan.split("PushedFilters: ")[1].split("ReadSchema")[0]
+        assert "Or(IsNull(promoted)" in pushed and f"EqualTo(property_app_flavor,{C.PRODUCTION_FLAVOR})" in pushed
+
+
+def test_repeated_keys(spark):
+    df = events(spark, ROWS)
+    assert [r.property_app_flavor for r in promoted.promote(df).where("user_pseudo_id = 'twice'").collect()] == [C.PRODUCTION_FLAVOR]
+    with pytest.raises(Exception, match="occurs more than once"):
+        promoted.promote(df, strict=True).collect()
+
+
+def test_files_without_any_are_read_as_before(spark):
+    df = events(spark, ROWS)
+    assert promoted.prune(df, {"app_flavor": "x"}, {}) is df and not promoted.is_promoted(df)
