@@ -22,6 +22,7 @@ from shardtally.sources.workspace import stored
 WEIGHTS = (5, 2, 1)
 MOST = 3
 BLOCK = 256
+#: After so many slots the points repeat: sources keep their shares, since each period has them.
 PERIOD = 2**31
 #: An odd number next to PERIOD times the golden ratio's fraction.
 GOLDEN = 1327217885
@@ -129,7 +130,8 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST, block: int
 
 def _mix(docs: DataFrame, weights: tuple, most: int, block: int) -> tuple[DataFrame, DataFrame]:
     """The rows of ``mix`` with ``sid``, and the table of ``targets``."""
-    order = F.xxhash64("doc_id", F.lit(11))
+    # null ids are told apart by their texts, so that they do not all lie in one stretch
+    order = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", F.lit(11))).otherwise(F.xxhash64("text", F.lit(11)))
     sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", word_count("text").alias("size"), order.alias("_h"), *row_key())
     sized = stored(sized, "sizes")
     sources = stored(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most), "sources")
