@@ -9,9 +9,12 @@ larger sets need one to three steps. A slot of two sets is equal with their Jacc
 (1 - 0.8**4)**32 = 5e-8.
 
 Documents with equal sets are one class (a 64-bit number of the set) from the start. Within a band
-bucket nobody is compared with everybody: first all with the bucket's smallest member; then, where
-components have been formed, those outside the bucket's largest component with the members of other
-components. So every pair that shares a bucket is compared on its full sets or already connected.
+bucket nobody is compared with everybody: first all with the bucket's smallest member. Buckets that
+still hold several components then go through a prefix filter: of two similar sets ordered alike,
+the rarest shingles first, the foremost ones have one in common. Texts that share no such shingle
+with another component are done with; of the others, those outside a bucket's largest component
+meet the members of other components. So every similar pair that shares a bucket is compared on its
+full sets or already connected.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shardtally.llm.common import MASK, Hashes, row_key
+from shardtally.llm.common import MASK, Hashes, lean, row_key
 from shardtally.llm.components import components
 from shardtally.sources.workspace import stored
 
@@ -34,9 +37,11 @@ BANDS, ROWS = 32, 4
 SLOTS = BANDS * ROWS
 SHINGLE = 2
 PERCENT = 80
-CHUNK_BYTES = 4_000_000
-ELEMENTS = 200_000
+CHUNK_BYTES = 2_000_000
+ELEMENTS = 100_000
 OUTSIDERS, MEMBERS = 128, 256
+#: Places of the table by whose counts shingles are ordered, which every task holds (4 MB).
+SLOTS_OF_COUNTS = 2**20
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -133,6 +138,7 @@ def _sketches(size: int):
             }
         )
 
+    @lean
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memo = Hashes()
         keys, texts, held = [], [], 0
@@ -169,15 +175,18 @@ def shingles(text: str, size: int) -> frozenset:
 
 
 def _linked(size: int, percent: int):
-    def pairs(left: pd.Series, right: pd.Series) -> pd.Series:
-        known = lru_cache(maxsize=64)(lambda text: shingles(text, size))
-        out = []
-        for a, b in zip(left, right):
-            a, b = known(a), known(b)
-            both = len(a & b)
-            out.append(100 * both >= percent * (len(a) + len(b) - both) > 0)
-        return pd.Series(out, dtype=bool)
-
+    @lean
+    def pairs(columns: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for left, right in columns:
+            known = lru_cache(maxsize=64)(lambda text: shingles(text, size))
+            out = []
+            for a, b in zip(left, right):
+                a, b = known(a), known(b)
+                both = len(a & b)
+                out.append(100 * both >= percent * (len(a) + len(b) - both) > 0)
+            yield pd.Series(out, dtype=bool)
+
+    pairs.__annotations__ = {"columns": Iterator[tuple[pd.Series, pd.Series]], "return": Iterator[pd.Series]}
     return F.pandas_udf(pairs, "boolean")
 
 
@@ -195,6 +204,7 @@ def _against_outsiders(size: int, percent: int):
     Of all links found, only those that join components not yet joined within the group are passed on.
     """
 
+    @lean
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         group, outsiders, index, joined = None, [], {}, {}
 
@@ -233,20 +243,84 @@ def _first_pairs(members: DataFrame) -> DataFrame:
     return members.join(pivot, "key").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
 
 
-def _second_links(members: DataFrame, labels: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links that comparing with one pivot a bucket has missed.
+def _text_chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows in frames of about ``CHUNK_BYTES`` of text."""
+    for batch in batches:
+        cuts = np.flatnonzero(np.diff(batch["text"].str.len().cumsum().to_numpy() // CHUNK_BYTES, prepend=0))
+        for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(batch)]):
+            if hi > lo:
+                yield batch.iloc[lo:hi]
+
+
+def _shingle_counts(size: int):
+    @lean
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        memo, total = Hashes(), np.zeros(SLOTS_OF_COUNTS, np.int64)
+        for chunk in _text_chunks(batches):
+            elements, _ = _sets([t.encode() for t in chunk["text"]], memo, size)
+            total += np.bincount((elements % np.uint64(SLOTS_OF_COUNTS)).astype(np.int64), minlength=SLOTS_OF_COUNTS)
+        slot = np.flatnonzero(total)
+        yield pd.DataFrame({"slot": slot, "n": total[slot]})
+
+    return rows
+
+
+def _counted(texts: DataFrame, size: int) -> np.ndarray:
+    """How often the shingles of each slot occur; a fixed number of rows reaches the driver."""
+    counts = texts.select("text").mapInPandas(_shingle_counts(size), "slot long, n long").groupBy("slot").agg(F.least(F.sum("n"), F.lit(2**31 - 1)).alias("n"))
+    packed = counts.select((F.col("slot") * 2**31 + F.col("n")).alias("code")).groupBy((F.col("code") % 1024).alias("part")).agg(F.collect_list("code").alias("codes"))
+    out = np.zeros(SLOTS_OF_COUNTS, np.int32)
+    for row in packed.toLocalIterator():
+        codes = np.array(row["codes"], np.int64)
+        out[codes >> 31] = codes & (2**31 - 1)
+    return out
+
+
+def _prefixes(held, size: int, percent: int):
+    """The foremost shingles of each text, ordered by their slots' counts.
+
+    Of two similar sets, the not larger one's foremost shingles as far as its ``index`` reaches and the
+    other's have one in common: they share 2t/(1+t) of the former and t of the latter at least.
+    """
+
+    @lean
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        memo, counts = Hashes(), held.value
+        for chunk in _text_chunks(batches):
+            elements, doc = _sets([t.encode() for t in chunk["text"]], memo, size)
+            order = np.lexsort((elements, counts[(elements % np.uint64(SLOTS_OF_COUNTS)).astype(np.int64)], doc))
+            n = np.bincount(doc, minlength=len(chunk))
+            length = n - -(-percent * n // 100) + 1
+            index = n - -(-2 * percent * n // (100 + percent)) + 1
+            place = np.arange(len(order)) - np.repeat(np.cumsum(n) - n, n)
+            own = place < np.repeat(length, n)
+            foremost, index = order[own], (place < np.repeat(index, n))[own]
+            nodes, roots = chunk["node"].to_numpy(np.int64), chunk["root"].to_numpy(np.int64)
+            yield pd.DataFrame({"shingle": elements[foremost].view(np.int64), "node": nodes[doc[foremost]], "root": roots[doc[foremost]], "index": index})
+
+    return rows
+
+
+def _candidates(texts: DataFrame, held, size: int, percent: int) -> DataFrame:
+    """``node`` of the ``texts`` (node, root, text) that share a foremost shingle with another component's: only these can be similar."""
+    schema = "shingle long, node long, root long, index boolean"
+    rows = stored(texts.select("node", "root", "text").mapInPandas(_prefixes(held, size, percent), schema), "prefixes")
+    keys = rows.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.max("index").alias("index")).where("index and lo < hi")
+    return rows.join(keys.select("shingle"), "shingle", "left_semi").select("node").distinct()
+
+
+def _meetings(labelled: DataFrame, texts: DataFrame) -> DataFrame:
+    """Which members of a bucket are to meet: rows (key, block, chunk, is_member, node, root, text).
 
     A bucket's largest component needs no comparing within; each member outside it (an outsider)
     meets all members of other components. Outsiders are dealt into blocks and members into chunks,
-    so a bucket of any size is many small groups. Buckets of two are done with.
+    so a bucket of any size is many small groups.
     """
-    labelled = members.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     parts = labelled.groupBy("key", "root").agg(F.count("*").alias("n"))
-    mixed_keys = parts.groupBy("key").agg(F.max_by("root", "n").alias("main"), F.sum("n").alias("all"), F.max("n").alias("most"))
-    mixed_keys = mixed_keys.where("all > 2 and all > most").select(
-        "key", "main", F.ceil((F.col("all") - F.col("most")) / OUTSIDERS).alias("blocks"), F.ceil(F.col("all") / MEMBERS).alias("chunks")
-    )
-    rows = stored(labelled.join(mixed_keys, "key"), "mixed").join(texts, "node")
+    keys = parts.groupBy("key").agg(F.max_by("root", "n").alias("main"), F.sum("n").alias("all"), F.max("n").alias("most"))
+    blocks, chunks = F.ceil((F.col("all") - F.col("most")) / OUTSIDERS), F.ceil(F.col("all") / MEMBERS)
+    keys = keys.where("all > most").select("key", "main", blocks.alias("blocks"), chunks.alias("chunks"))
+    rows = stored(labelled.join(keys, "key"), "meetings").join(texts, "node")
 
     def every(count: str):
         return F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
@@ -256,7 +330,18 @@ def _second_links(members: DataFrame, labels: DataFrame, texts: DataFrame, size:
     columns = ["key", "block", "chunk", "is_member", "node", "root", "text"]
     outsiders = rows.where("root <> main").withColumns({"block": block, "chunk": every("chunks"), "is_member": F.lit(False)})
     everyone = rows.withColumns({"chunk": chunk, "block": every("blocks"), "is_member": F.lit(True)})
-    dealt = outsiders.select(columns).union(everyone.select(columns)).repartition("key", "block", "chunk")
+    return outsiders.select(columns).union(everyone.select(columns))
+
+
+def _second_links(members: DataFrame, labels: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links that comparing with one pivot a bucket has missed."""
+    labelled = members.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # buckets of two are done with: their members have been compared
+    several = labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n")).where("lo < hi and n > 2")
+    mixed_rows = stored(labelled.join(several.select("key"), "key", "left_semi").select("key", "node", "root"), "mixed")
+    held = texts.sparkSession.sparkContext.broadcast(_counted(texts, size))
+    candidates = stored(_candidates(texts.join(mixed_rows.select("node", "root").distinct(), "node"), held, size, percent), "candidates")
+    dealt = _meetings(mixed_rows.join(candidates, "node", "left_semi"), texts).repartition("key", "block", "chunk")
     dealt = dealt.sortWithinPartitions("key", "block", "chunk", "is_member")
     return dealt.mapInPandas(_against_outsiders(size, percent), "a long, b long").distinct()
 

@@ -84,6 +84,33 @@ def test_empty_and_clashing_names(spark):
     assert nearcopies.near_copies(empty).count() == 0
 
 
+def templated(n):
+    """Texts that share a template and many buckets, and are no copies."""
+    template = " ".join(f"t{i}" for i in range(60))
+    return [(i, template + " " + " ".join(f"own{i}x{j}" for j in range(11))) for i in range(n)]
+
+
+def test_templated_texts_are_not_dealt_to_one_another(spark):
+    ship(spark)
+    for n in (1000, 2000):
+        rows = spark.createDataFrame([(i, i, t) for i, t in templated(n)], "node long, root long, text string")
+        held = spark.sparkContext.broadcast(nearcopies._counted(rows, 2))
+        assert nearcopies._candidates(rows, held, 2, 80).count() <= n // 10
+    close = [(i, i, " ".join(f"t{k}" for k in range(60)) + f" own{i}") for i in range(40)]
+    rows = spark.createDataFrame(close, "node long, root long, text string")
+    held = spark.sparkContext.broadcast(nearcopies._counted(rows, 2))
+    assert nearcopies._candidates(rows, held, 2, 80).count() == 40
+
+
+def test_templated_bucket(spark):
+    ship(spark)
+    rows = templated(1500)
+    rows += [(5000 + i, t + f" more{i}") for i, t in rows[:20]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = {r.doc_id: r.component_id for r in nearcopies.near_copies(docs, size=2).collect()}
+    assert got == {i: i if i < 5000 else i - 5000 for i, _ in rows}
+
+
 def test_signature_follows_similarity():
     rng = np.random.default_rng(5)
     common, a, b = (rng.integers(0, 2**63, n, dtype=np.uint64) for n in (400, 50, 50))
