@@ -3,6 +3,7 @@
 import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from shardtally.llm import exacttopk
@@ -31,12 +32,52 @@ def test_like_brute_force(spark):
     rows += [(900, [1.0, 2.0]), (901, [2.0, 2.0]), (2**40, [30.0] * 6)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(5)
     rows = [tuple(r) for r in df.collect()]
-    for block in (1024, 3):
-        got = exacttopk.top_k(df, F.col("vec_id") % 50 == 0, k=10, block_size=block).collect()
+    for block, group in ((1024, 32), (3, 1)):
+        got = exacttopk.top_k(df, F.col("vec_id") % 50 == 0, k=10, block_size=block, group=group).collect()
         assert sorted(map(tuple, got)) == brute(rows, lambda i: i % 50 == 0, 10)
     assert exacttopk.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_ids_over_the_whole_range_and_ties(spark, monkeypatch):
+    ship(spark)
+    rng = random.Random(2)
+    ids = [rng.randrange(-(2**63), 2**63) for _ in range(120)] + [-(2**63), 2**63 - 1, 2**60 + 1, 2**60 + 2, 0]
+    rows = [(i, [1.0, float(n % 2)]) for n, i in enumerate(ids)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    wanted = set(ids[::17]) | {0, 2**63 - 1}
+    got = exacttopk.top_k(df, F.col("vec_id").isin(*wanted), k=7).collect()
+    assert sorted(map(tuple, got)) == brute(rows, lambda i: i in wanted, 7)
+
+
+def test_wide_scores(spark):
+    ship(spark)
+    rng = random.Random(3)
+    rows = [(i, [rng.uniform(-6e5, 6e5) for _ in range(5)]) for i in range(200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = exacttopk.top_k(df, F.col("vec_id") % 50 == 0, k=3).collect()
+    assert sorted(map(tuple, got)) == brute(rows, lambda i: i % 50 == 0, 3)
+
+
+def test_products_beyond_a_long_are_an_error(spark):
+    ship(spark)
+    df = spark.createDataFrame([(0, [3e6] * 3), (1, [3e6] * 3)], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="may not fit a long"):
+        exacttopk.top_k(df, F.col("vec_id") == 0).collect()
+
+
+def test_jobs_do_not_grow_with_queries(spark):
+    ship(spark)
+    rng = random.Random(4)
+    df = spark.createDataFrame([(i, [rng.gauss(0, 1)] * 4) for i in range(400)], "vec_id long, embedding array<double>")
+    tracker, jobs = spark.sparkContext.statusTracker(), []
+    for name, step in (("few queries", 100), ("many queries", 2)):
+        spark.sparkContext.setJobGroup(name, name)
+        exacttopk.top_k(df, F.col("vec_id") % step == 0, block_size=16).collect()
+        jobs.append(len(tracker.getJobIdsForGroup(name)))
+    spark.sparkContext.setJobGroup("", "")
+    assert jobs[1] <= jobs[0] + 10
+
+
 def test_whole_table(spark):
     from shardtally.llm.queries import op3_exact_topk
 
