@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 from shardtally.sources.workspace import stored
 
 LEAST = 0.6
+#: A directory with more than this share of all files is crowded.
+CROWDED = 0.01
 HEADER_LINES = 20
 NAMES = r"(?i)^(licen[cs]e|copying|copyright|notice)([.-].*)?$"
 #: Notices by which these licences are named.
@@ -103,8 +105,6 @@ NOTICES = {
 #: Words a template has at least to be a full text, and a window's least cosine by its words: a short notice has to be there almost word for word.
 FULL, SHORT = 100, 12
 WINDOW_LEAST, SHORT_LEAST = 0.8, 0.9
-#: No template is without one of these.
-SIGNAL = re.compile(r"licen|permission|redistribut|free software|creative commons|cc0|copyright|rights reserved|unencumbered", re.I)
 SPDX = re.compile(r"SPDX-License-Identifier:[ \t]*([A-Za-z0-9.+()-]+(?:[ \t]+(?:AND|OR|WITH)[ \t]+[A-Za-z0-9.+()-]+)*)")
 _WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
 
@@ -147,6 +147,11 @@ class Windows:
                 norm = math.sqrt(sum(x * x for x in vector.values()))
                 least = SHORT_LEAST if len(words) < SHORT else WINDOW_LEAST
                 self.templates.append((name, len(words), {w: x / norm for w, x in vector.items()}, least))
+        self.words = frozenset(weight)
+        self.squares: dict[str, list[tuple[int, float]]] = {}
+        for at, (_, _, template, _) in enumerate(self.templates):
+            for w, x in template.items():
+                self.squares.setdefault(w, []).append((at, x * x))
 
     def cosine(self, words: list[str], template: dict[str, float]) -> float:
         dot = norm = 0.0
@@ -156,14 +161,18 @@ class Windows:
             dot += x * template.get(word, 0.0)
         return round(dot / math.sqrt(norm), 9) if norm else 0.0
 
-    def text(self, text: str) -> list[tuple[float, int, int, str, int]]:
-        """(cosine, first word, end, name, template's words) of every window that matches."""
-        if not SIGNAL.search(text):
-            return []
-        words = words_of(text)
-        held, found = set(words), []
-        for name, size, template, least in self.templates:
-            if sum(x * x for w, x in template.items() if w in held) < least * least:
+    def text(self, words: list[str]) -> list[tuple[float, int, int, str, int]]:
+        """(cosine, first word, end, name, template's words) of every window of a text's ``words`` that matches.
+
+        No window has a larger cosine to a template than the template's part in the words that the text holds at all.
+        """
+        reach = [0.0] * len(self.templates)
+        for w in self.words.intersection(words):
+            for at, square in self.squares[w]:
+                reach[at] += square
+        found = []
+        for (name, size, template, least), most in zip(self.templates, reach):
+            if most < least * least - 1e-9:
                 continue
             last = max(0, len(words) - size)
             step = 1 if size <= 2 * SHORT else size // 8
@@ -208,9 +217,8 @@ class Matcher:
     def vector(self, counts: Counter) -> dict[str, float]:
         return {w: (1 + math.log(n)) * self.weight.get(w, self.unknown) for w, n in counts.items()}
 
-    def line(self, line: str) -> tuple[float, str | None, int]:
-        """(cosine, name, words) of the template most like ``line``; ties go to the smaller name."""
-        words = words_of(line)
+    def line(self, words: list[str]) -> tuple[float, str | None, int]:
+        """(cosine, name, words) of the template most like a line's ``words``; ties go to the smaller name."""
         vector = self.vector(Counter(words))
         dots: dict[int, float] = {}
         for word, x in vector.items():
@@ -228,15 +236,17 @@ class Matcher:
         A full text counts before an SPDX tag, a tag before notices, and those by cosine, then by the longer template:
         a short notice may be a part of another licence.
         """
-        best, inside, total, starts, reserved = ((), 0.0, None, None), [], 0, [], False
+        best, inside, total, starts, reserved, every = ((), 0.0, None, None), [], 0, [], False, []
         for number, line in enumerate((text or "").split("\n")):
-            score, name, n = self.line(line)
+            words = words_of(line)
+            every += words
+            score, name, n = self.line(words)
             starts.append(total)
             if score >= least:
                 inside.append((total, total + n))
                 best = max(best, ((1, score, 0, -number), score, number, name), key=lambda b: b[0])
             total += n
-        for score, at, end, name, size in self.windows.text(text or "") if self.windows else ():
+        for score, at, end, name, size in self.windows.text(every) if self.windows else ():
             if name == RESERVED:
                 reserved = True
                 continue
@@ -291,6 +301,18 @@ def ancestors(path: str | Column) -> Column:
     return F.transform(F.sequence(F.lit(0), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
 
 
+def _inherited(rows: DataFrame, nearest: DataFrame) -> DataFrame:
+    """``rows`` with the ``nearest`` licence of their directory.
+
+    Directories with more than ``CROWDED`` of all rows, 1 / ``CROWDED`` of them at most, are few enough to be sent to the rows.
+    """
+    counts = rows.where("directory is not null").groupBy("directory").agg(F.count("*").alias("n"))
+    least = CROWDED * (counts.agg(F.sum("n")).first()[0] or 0)
+    crowded = F.coalesce(F.col("directory").isin([r.directory for r in counts.where(F.col("n") > least).collect()]), F.lit(False))
+    quiet = rows.where(~crowded).join(nearest, "directory", "left")
+    return quiet.union(rows.where(crowded).join(F.broadcast(nearest.where(crowded)), "directory", "left").select(quiet.columns))
+
+
 def scan(files: DataFrame, templates: dict[str, list[str]] | None = None, least: float = LEAST) -> DataFrame:
     """One row per row of ``files`` (file_id, path, text): file_id, path, own_licence, cosine, line,
     is_header (within the first ``HEADER_LINES`` lines), rights_reserved (it says so), is_licence_file, licence, licensed_by and how.
@@ -324,9 +346,12 @@ def scan(files: DataFrame, templates: dict[str, list[str]] | None = None, least:
     licensing = rows.where(F.col("is_licence_file") & F.col("directory").isNotNull()).groupBy(F.col("directory").alias("above"))
     best = licensing.agg(F.min(F.struct((-F.col("cosine")).alias("far"), "own_licence")).alias("m")).select("above", F.col("m.own_licence").alias("licence"))
     nested = rows.where("own_licence is null and directory is not null").select("directory").distinct()
-    nested = nested.select("directory", F.explode(ancestors("directory")).alias("above")).distinct()
-    nearest = nested.join(best, "above").groupBy("directory").agg(F.max_by(F.struct("above", "licence"), F.length("above")).alias("_from"))
-    result = rows.join(nearest, "directory", "left")
+    # the root is above every directory: its licence is one value, and no key of a join
+    root = best.where("above = ''").first()
+    above_all = F.struct(F.lit("").alias("above"), F.lit(root and root.licence).alias("licence"))
+    above = nested.select("directory", F.explode(ancestors("directory")).alias("above")).where("above <> ''")
+    nearest = above.join(best, "above").groupBy("directory").agg(F.max_by(F.struct("above", "licence"), F.length("above")).alias("_from"))
+    result = _inherited(rows, nearest).withColumn("_from", F.coalesce("_from", F.when(F.col("directory").isNotNull() & F.lit(root is not None), above_all)))
     has_own = F.col("own_licence").isNotNull()
     return result.select(
         "file_id",

@@ -122,3 +122,29 @@ def test_whole_table(spark):
     rows = [tuple(r) for r in licence_files(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")).select("file_id", "path", "text").collect()]
     got = op1_licence_scan(spark, "/root/testdata/sf0.001").select("file_id", "own_licence", "is_licence_file", "licence", "licensed_by", "how").collect()
     assert sorted(map(tuple, got), key=str) == brute(rows)
+
+
+def test_crowded_directories_and_the_root_inherit_alike(spark, monkeypatch):
+    ship(spark)
+    notice = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software\n"
+    files = [(1, "LICENSE", "SPDX-License-Identifier: MIT"), (2, "a/LICENSE", "SPDX-License-Identifier: Apache-2.0"), (3, "a/b/x", "none"), (4, "c/x", None), (5, None, "x")]
+    files += [(100 + i, f"a/many/f{i}", "text") for i in range(60)] + [(200 + i, f"top{i}", "text") for i in range(40)] + [(300, "c/d/e/f", notice)]
+    df = spark.createDataFrame(files, "file_id long, path string, text string")
+    results = []
+    for share in (0.01, 1.0):
+        monkeypatch.setattr(licences, "CROWDED", share)
+        results.append(sorted(map(str, licences.scan(df).collect())))
+    assert results[0] == results[1]
+    by_id = {r.file_id: r for r in licences.scan(df).collect()}
+    assert by_id[4].how == "inherited" and by_id[4].licensed_by == "" and by_id[4].licence == by_id[1].licence
+    assert by_id[130].licensed_by == "a" and by_id[3].licensed_by == "a" and by_id[210].licensed_by == "" and by_id[5].how == "none"
+    assert all(r.how != "inherited" for r in licences.scan(df.where("file_id >= 3")).collect())
+
+
+def test_windows_need_no_word_in_particular():
+    """A full text whose telling words are gone is found as long as its cosine allows."""
+    texts = licences.full_texts()
+    windows = licences.Windows(licences.united(licences.TEMPLATES, licences.NOTICES, texts), {}, 1)
+    words = [w for w in licences.words_of(texts["MIT"][0]) if not w.startswith(("licen", "permission", "copyright", "redistribut"))]
+    assert any(name == "MIT" for _, _, _, name, _ in windows.text(["prose"] * 50 + words))
+    assert windows.text([]) == [] and windows.text(["prose"] * 50) == []
