@@ -21,16 +21,17 @@ most ``SENT_GRAMS`` rows; a larger one meets the words of the texts in joins, wi
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
-import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shardtally.llm.common import row_key
+from shardtally.llm.common import lean, row_key
 from shardtally.llm.quality import held_out
 from shardtally.sources.workspace import stored
 
@@ -40,8 +41,9 @@ SENT_GRAMS = 4_000_000
 CALIBRATION = 20_000
 TOXIC_AT = 0.5
 CHUNK_CHARS = 2_000_000
-MEMO = 300_000
+MEMO = 150_000
 PAD, END = "^", "$"
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 _NOT_LETTERS = r"[^\p{L}]+"
 FEATURES = ["_mean", "_best", "_strong", "_length"]
 
@@ -94,7 +96,7 @@ def shared_backoff(grams: DataFrame, order: int) -> DataFrame:
 
 
 def log_ratios(words: DataFrame, order: int = ORDER) -> DataFrame:
-    """``key, ratio`` of every gram and every head (by its 64-bit hash) from ``words`` (word, toxic, other: counts)."""
+    """``gram, ratio`` of every gram, and of every head (a character shorter), from ``words`` (word, toxic, other: counts)."""
     grams = words.select(F.explode(grams_of(F.col("word"), order)).alias("gram"), "toxic", "other")
     grams = stored(grams.groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")), "grams")
     shared = shared_backoff(grams.select("gram", (F.col("toxic") + F.col("other")).alias("n")), order)
@@ -107,39 +109,72 @@ def log_ratios(words: DataFrame, order: int = ORDER) -> DataFrame:
         own = F.when(F.col(f"{c}_all") > 0, F.greatest(F.col(c) - discount, F.lit(0.0)) / F.col(f"{c}_all")).otherwise(0.0)
         whole[c] = own + rest[c] * F.col("shared")
     seen = grams.join(heads, _head("gram", order) == F.col("head")).join(shared, F.expr("substring(gram, 2)") == F.col("suffix"))
-    seen = seen.select(F.xxhash64("gram").alias("key"), (F.log(whole["toxic"]) - F.log(whole["other"])).alias("ratio"))
-    rows = seen.union(heads.select(F.xxhash64("head").alias("key"), (F.log(rest["toxic"]) - F.log(rest["other"])).alias("ratio")))
-    return rows.select("key", F.col("ratio").cast("float").alias("ratio"))
+    seen = seen.select("gram", (F.log(whole["toxic"]) - F.log(whole["other"])).alias("ratio"))
+    rows = seen.union(heads.select(F.col("head").alias("gram"), (F.log(rest["toxic"]) - F.log(rest["other"])).alias("ratio")))
+    return rows.select("gram", F.col("ratio").cast("float").alias("ratio"))
+
+
+def _codes(texts: list[str]) -> np.ndarray:
+    """The characters of all texts behind one another."""
+    return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def hashes_of(codes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit numbers of the ``size`` - 1 and of the ``size`` characters from each place on."""
+    places = max(len(codes) - size + 1, 0)
+    shorter = whole = np.zeros(places, np.uint64)
+    for i in range(size):
+        shorter, whole = whole, whole * _ODD + (codes[i : i + places].astype(np.uint64) + np.uint64(1))
+    return _spread(shorter), _spread(whole)
+
+
+def whole_hashes(texts: list[str]) -> np.ndarray:
+    """Each text's number, as ``hashes_of`` gives it for a stretch of that length."""
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+    out = np.zeros(len(texts), np.uint64)
+    for size in np.unique(lengths).tolist():
+        rows = np.flatnonzero(lengths == size)
+        codes = _codes([texts[i] for i in rows.tolist()]).reshape(len(rows), size).astype(np.uint64)
+        for i in range(size):
+            out[rows] = out[rows] * _ODD + (codes[:, i] + np.uint64(1))
+    return _spread(out)
+
+
+def _spread(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(29))
 
 
 class Ratios:
-    """The table in a task: sorted keys and ratios."""
+    """The table in a task: sorted keys (``hashes_of`` grams and heads) and ratios."""
 
     def __init__(self, keys: np.ndarray, ratios: np.ndarray, order: int):
         self.keys, self.ratios, self.order = keys, ratios, order
 
-    def find(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ratios, which of them are known)."""
-        digest = xxhash.xxh64_intdigest
-        wanted = np.array([digest(t.encode(), 42) for t in texts], np.uint64).view(np.int64)  # as Spark's xxhash64
+    def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ratios, which of them are known); looked up in ascending order, so that the table is walked through once."""
         if not len(self.keys):
             return np.zeros(len(wanted)), np.zeros(len(wanted), bool)
-        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        order = np.argsort(wanted)
+        at = np.empty(len(wanted), np.int64)
+        at[order] = np.minimum(np.searchsorted(self.keys, wanted[order]), len(self.keys) - 1)
         known = self.keys[at] == wanted
         return np.where(known, self.ratios[at].astype(np.float64), 0.0), known
 
     def words(self, words: list[str]) -> np.ndarray:
         """Log ratio of each word."""
-        n, pad = self.order, PAD * (self.order - 1)
-        grams, sizes = [], []
-        for word in words:
-            padded = pad + word + END
-            sizes.append(len(word) + 1)
-            grams += [padded[i : i + n] for i in range(len(word) + 1)]
-        ratio, known = self.find(grams)
+        if not words:
+            return np.zeros(0)
+        pad = PAD * (self.order - 1)
+        lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1  # grams of each word
+        heads, grams = hashes_of(_codes([pad + word + END for word in words]), self.order)
+        spans = lengths + self.order - 1
+        inside = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        at = np.repeat(np.cumsum(spans) - spans, lengths) + inside
+        ratio, known = self.find(grams[at])
         missed = np.flatnonzero(~known)
-        ratio[missed] = self.find([grams[i][:-1] for i in missed.tolist()])[0]
-        return np.bincount(np.repeat(np.arange(len(words)), sizes), ratio, len(words))
+        ratio[missed] = self.find(heads[at[missed]])[0]
+        return np.bincount(np.repeat(np.arange(len(words)), lengths), ratio, len(words))
 
 
 class _Tokens(dict):
@@ -170,11 +205,17 @@ class _Tokens(dict):
         self.table, self.new = np.concatenate([self.table, rows]), []
 
 
+    def forget(self) -> None:
+        """Keeps the first ``MEMO`` tokens."""
+        if len(self) > MEMO:
+            kept = list(self)[:MEMO]
+            self.clear()
+            self.update(zip(kept, range(MEMO)))
+            self.table = self.table[:MEMO].copy()
+
+
 def _described(texts: list[str], tokens: _Tokens) -> np.ndarray:
     """Features of some texts; a text without letters has zeros."""
-    if len(tokens) > MEMO:
-        tokens.clear()
-        tokens.table = np.zeros((0, 4))
     numbers, sizes = [], []
     for text in texts:
         own = text.split()
@@ -187,12 +228,14 @@ def _described(texts: list[str], tokens: _Tokens) -> np.ndarray:
             rows = tokens.table[own]
             chars = rows[:, 1].sum()
             out[i] = rows[:, 0].sum() / max(chars, 1), rows[:, 2].max(), np.log1p(rows[:, 3].sum()), np.log1p(chars)
+    tokens.forget()
     return out
 
 
 def _describe(held):
     """Texts (lower-cased) to their features; ``held`` is a broadcast of keys, ratios and order."""
 
+    @lean
     def rows(columns: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         tokens = _Tokens(Ratios(*held.value))
         for texts in columns:
@@ -212,34 +255,51 @@ def _describe(held):
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        blobs = [[np.ascontiguousarray(batch.column(c).to_numpy(zero_copy_only=False)).tobytes()] for c in ("key", "ratio")]
+        keys = whole_hashes(batch.column("gram").to_pylist())
+        ratios = np.ascontiguousarray(batch.column("ratio").to_numpy(zero_copy_only=False), np.float32)
+        blobs = [[keys.tobytes()], [ratios.tobytes()]]
         yield pa.RecordBatch.from_arrays([pa.array(b, pa.binary()) for b in blobs], ["keys", "ratios"])
 
 
-def _gathered(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def _gathered(table: DataFrame, rows: int) -> tuple[np.ndarray, np.ndarray]:
     """The sorted table on the driver, 12 bytes a row: rows travel as packed arrays."""
-    keys, ratios = [np.zeros(0, np.int64)], [np.zeros(0, np.float32)]
-    for row in table.select("key", "ratio").mapInArrow(_packed, "keys binary, ratios binary").toLocalIterator():
-        keys.append(np.frombuffer(row["keys"], np.int64))
-        ratios.append(np.frombuffer(row["ratios"], np.float32))
-    keys, ratios = np.concatenate(keys), np.concatenate(ratios)
+    keys, ratios, at = np.zeros(rows, np.uint64), np.zeros(rows, np.float32), 0
+    for row in table.select("gram", "ratio").mapInArrow(_packed, "keys binary, ratios binary").toLocalIterator():
+        own = np.frombuffer(row["keys"], np.uint64)
+        keys[at : at + len(own)], ratios[at : at + len(own)] = own, np.frombuffer(row["ratios"], np.float32)
+        at += len(own)
     order = np.argsort(keys)
     return keys[order], ratios[order]
 
 
-def described(docs: DataFrame, table: DataFrame, order: int = ORDER, sent: int = SENT_GRAMS) -> DataFrame:
+@dataclass
+class Models:
+    """The stored table of ratios and, if it is small enough to be sent to the tasks, its broadcast."""
+
+    table: DataFrame
+    order: int
+    held: Broadcast | None
+
+    @classmethod
+    def of(cls, table: DataFrame, order: int, sent: int) -> Models:
+        rows = table.count()
+        held = table.sparkSession.sparkContext.broadcast((*_gathered(table, rows), order)) if rows <= sent else None
+        return cls(table, order, held)
+
+
+def described(docs: DataFrame, models: Models) -> DataFrame:
     """``docs`` as ``_row`` with the features of its text in ``_text``."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("text").alias("_t"))
-    if table.count() <= sent:
-        held = docs.sparkSession.sparkContext.broadcast((*_gathered(table), order))
-        return rows.select("_row", _describe(held)(F.lower("_t")).alias("_text"))
+    if models.held is not None:
+        return rows.select("_row", _describe(models.held)(F.lower("_t")).alias("_text"))
+    table, order = models.table, models.order
     keyed = docs.select(*row_key(), "text").dropDuplicates(["_k1", "_k2"])
     words = keyed.select("_k1", "_k2", F.explode(words_of(F.col("text"))).alias("word")).groupBy("_k1", "_k2", "word").agg(F.count("*").alias("n"))
     words = stored(words, "words")
     places = words.select("word").distinct().select("word", F.explode(grams_of(F.col("word"), order)).alias("gram"))
-    places = places.select("word", F.xxhash64("gram").alias("_gram"), F.xxhash64(_head("gram", order)).alias("_head"))
-    whole = table.select(F.col("key").alias("_gram"), F.col("ratio").alias("_whole"))
-    heads = table.select(F.col("key").alias("_head"), F.col("ratio").alias("_rest"))
+    places = places.select("word", F.col("gram").alias("_gram"), _head("gram", order).alias("_head"))
+    whole = table.select(F.col("gram").alias("_gram"), F.col("ratio").alias("_whole"))
+    heads = table.select(F.col("gram").alias("_head"), F.col("ratio").alias("_rest"))
     ratios = places.join(whole, "_gram", "left").join(heads, "_head", "left")
     ratios = ratios.groupBy("word").agg(F.sum(F.coalesce("_whole", "_rest", F.lit(0.0)).cast("double")).alias("ratio"))
     chars = F.sum(F.col("n") * (F.length("word") + 1))
@@ -293,14 +353,14 @@ def scored(docs: DataFrame, labels: DataFrame, order: int = ORDER, sent: int = S
     seen = words.agg(F.max("toxic"), F.max("other")).first()
     if not seen[0] or not seen[1]:
         return nothing
-    table = stored(log_ratios(words, order), "ratios")
+    models = Models.of(stored(log_ratios(words, order), "ratios"), order, sent)
     few = known.where("_fold = 4").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     # at most ``sample`` rows of three numbers, so the texts need not be shuffled to meet them
     few = docs.select("doc_id", "text").join(F.broadcast(few) if sample <= 100_000 else few, "doc_id")
-    rows = described(few, table, order, sent).select("_text.*", F.col("_row._toxic").alias("_toxic")).toPandas()
+    rows = described(few, models).select("_text.*", F.col("_row._toxic").alias("_toxic")).toPandas()
     rows = rows.sort_values([*FEATURES, "_toxic"])  # whatever order they came in
     if rows["_toxic"].nunique() < 2:
         return nothing
     bias, *weights = fit(rows[FEATURES].to_numpy(), rows["_toxic"].to_numpy(float))
     margin = sum((w * F.col(f"_text.{c}") for w, c in zip(weights, FEATURES)), F.lit(bias))
-    return described(docs, table, order, sent).select("_row", (1 / (1 + F.exp(-margin))).alias("_score"))
+    return described(docs, models).select("_row", (1 / (1 + F.exp(-margin))).alias("_score"))

@@ -62,12 +62,28 @@ WORDS = [("idiot", 9, 0), ("idle", 1, 30), ("the", 40, 400), ("then", 4, 45), ("
 def test_table_equals_dictionaries(spark, order):
     words = spark.createDataFrame(WORDS, "word string, toxic long, other long")
     want = brute_ratios(WORDS, order)
-    keys = {r[0]: r[1] for r in spark.createDataFrame([(g,) for g in want], "g string").select(F.xxhash64("g"), "g").collect()}
-    got = {keys[r.key]: r.ratio for r in toxicity.log_ratios(words, order).collect()}
+    got = {r.gram: r.ratio for r in toxicity.log_ratios(words, order).collect()}
     assert got.keys() == want.keys()
     assert all(got[g] == pytest.approx(want[g], abs=1e-5) for g in want)
 
 
+def test_words_in_a_task_equal_dictionaries():
+    want = brute_ratios(WORDS, 6)
+    grams = list(want)
+    keys = toxicity.whole_hashes(grams)
+    assert all(int(k) == int(toxicity.hashes_of(toxicity._codes([g]), len(g))[1][0]) for g, k in zip(grams, keys))
+    order = np.argsort(keys)
+    table = toxicity.Ratios(keys[order], np.array([want[g] for g in grams], np.float64)[order], 6)
+    words = ["idiot", "x", "éthosé", "unknown", "the", "idiotheory"]
+
+    def looked_up(word):
+        padded = "^" * 5 + word + "$"
+        return sum(want.get(padded[i : i + 6], want.get(padded[i : i + 5], 0.0)) for i in range(len(word) + 1))
+
+    assert table.words(words) == pytest.approx([looked_up(w) for w in words])
+    assert len(table.words([])) == 0 and toxicity.Ratios(keys[:0], keys[:0], 6).words(["a"]).tolist() == [0.0]
+
+
 def test_probabilities_add_up(spark):
     """With shared backoff P_toxic sums to at most 1 after a head that both classes know."""
     words = spark.createDataFrame(WORDS, "word string, toxic long, other long")
