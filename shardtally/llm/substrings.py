@@ -5,39 +5,57 @@ pieces. Consecutive windows with one minimiser form a super-k-mer, which travels
 string to the bucket of that minimiser; equal windows have equal minimisers, so each bucket can
 sort and count its windows without asking any other.
 
-1. ``minimiser_counts``: super-k-mers per minimiser. Those with more than ``hot`` are listed
-   (``hot`` doubles until the list holds at most ``MAX_HOT`` numbers, 16 MB).
-2. ``_deal``: each task packs its super-k-mers, one compressed blob per bucket. Windows of hot
+1. ``minimiser_counts``: super-k-mers per minimiser. Those with more than ``HOT`` are entered in a
+   Bloom filter of ``FILTER_BITS`` bits, which every task holds. One that is entered by mistake is
+   merely dealt like a hot one.
+2. ``_deal``: a row for each super-k-mer, with its words as one string, compressed with a dictionary that
+   all tasks share; Spark's shuffle takes the rows to their buckets, so there is no more to a row
+   however many buckets there are. Windows of hot
    minimisers go by their own 128-bit digest instead, and a task sends each such window once
    however often it has it, so that no bucket receives more than one entry per task and window.
-3. ``_count``: a bucket gives every word a dense number, fingerprints and sorts its windows,
-   compares neighbours with equal fingerprints word by word, and reports where repeated ones start.
+3. ``_count``: a bucket fingerprints and sorts its windows, compares neighbours with equal
+   fingerprints byte by byte, and reports where repeated ones start.
 4. The starts are joined back to the texts.
+
+Texts are handled as arrays of bytes: blanks, word hashes and fingerprints come from numpy, without an
+object per word.
 """
 
 from __future__ import annotations
 
-import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shardtally.llm.common import Hashes, parallel, row_key
+from shardtally.llm.common import lean, parallel, release, row_key
 from shardtally.sources.workspace import stored
 
 WIDTH = 35
 MER = 4
 HOT = 1000
-MAX_HOT = 2_000_000
-CHUNK_WORDS = 600_000
+FILTER_BITS = 2**26
+CHUNK_BYTES = 1_500_000
 BUCKET_WORDS = 300_000
+SLICE_BYTES = 1_000_000
+SENT = 200_000
+#: The dictionary of the compression, and the texts (their first bytes) that it is trained on. It changes sizes only.
+DICTIONARY_BYTES, TRAINING_TEXTS, TRAINING_BYTES = 100_000, 2000, 2000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MUL = np.uint64(0xBF58476D1CE4E5B9)
+_ODD = 0x9E3779B97F4A7C15
+#: Fixed by the contract: the six bytes between words.
+_BLANK = np.zeros(256, bool)
+_BLANK[[0x20, *range(0x09, 0x0E)]] = True
+DEALT = pa.schema([("bucket", pa.int64()), ("kind", pa.int8()), ("_k1", pa.int64()), ("_k2", pa.int64()), ("start", pa.int32()), ("n", pa.int64()), ("data", pa.binary())])
+RANGES = pa.schema([("_k1", pa.int64()), ("_k2", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64())])
+MERS, WINDOWS, KNOWN = 0, 1, 2
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -45,6 +63,39 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+_BYTE = _mixed(_mixed(np.arange(1, 257, dtype=np.uint64) * _MIX))
+
+
+_held = [np.ones(1, np.uint64)] * 2
+
+
+def _powers(size: int) -> list[np.ndarray]:
+    """Powers of an odd number and of its inverse, modulo 2**64; the longest made so far are kept."""
+    if len(_held[0]) < size:
+        for i, x in enumerate((_ODD, pow(_ODD, -1, 1 << 64))):
+            _held[i] = np.cumprod(np.append(np.uint64(1), np.full(2 * size, x, np.uint64)))
+    return _held
+
+
+def prints_of(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Fingerprints of the stretches [begin, end) of ``data``, both ascending: equal for equal bytes.
+
+    Taken from prefix sums over about ``SLICE_BYTES`` at a time.
+    """
+    out = np.empty(len(begin), np.uint64)
+    i = 0
+    while i < len(begin):
+        j = max(int(np.searchsorted(begin, begin[i] + SLICE_BYTES)), i + 1)
+        part = data[begin[i] : end[j - 1]]
+        powers, inverse = _powers(len(part))
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(_BYTE[part] * powers[: len(part)], out=sums[1:])
+        lo, hi = begin[i:j] - begin[i], end[i:j] - begin[i]
+        out[i:j] = (sums[hi] - sums[lo]) * inverse[lo]
+        i = j
+    return out
+
+
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     """Minimum of each ``width`` neighbours, by doubling."""
     have = 1
@@ -56,18 +107,24 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 
 
 class Chunk:
-    """Some whole documents: their words, windows, minimisers and super-k-mers."""
-
-    def __init__(self, keys: list[tuple], texts: list[bytes], memo: Hashes, width: int):
-        words, lengths = [], []
-        for text in texts:
-            own = text.split()
-            lengths.append(len(own))
-            words += own
-        self.words, self.width = words, width
+    """Some whole documents: their words with one blank after each, windows, minimisers and super-k-mers."""
+
+    def __init__(self, keys: list[tuple], texts: list[bytes], width: int):
+        self.width = width
         self.k1 = np.array([k[0] for k in keys], np.int64)
         self.k2 = np.array([k[1] for k in keys], np.int64)
-        lengths = np.array(lengths, np.int64)
+        raw = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+        blank = _BLANK[raw]
+        ends = blank.copy()
+        ends[0] = False
+        ends[1:] &= ~blank[:-1]
+        last = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)  # end of each document
+        owner = np.searchsorted(last, np.flatnonzero(ends), side="right")
+        self.text = np.where(blank, np.uint8(32), raw)[~blank | ends]
+        self.end = np.flatnonzero(self.text == 32)  # the blank after each word
+        self.begin = np.append(0, self.end + 1)[:-1]
+        lengths = np.bincount(owner, minlength=len(texts))
+        self.words = len(self.end)
         self.first = np.cumsum(lengths) - lengths
         mer = min(MER, width)
         windows = np.maximum(lengths - width + 1, 0)
@@ -77,7 +134,7 @@ class Chunk:
         if not len(self.at):
             self.run = self.minimiser = np.zeros(0, np.int64)
             return
-        hashes = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
+        hashes = _mixed(prints_of(self.text, self.begin, self.end))
         pieces = hashes[: len(hashes) - mer + 1].copy()
         for i in range(1, mer):
             pieces = pieces * _MIX + hashes[i : len(hashes) - mer + 1 + i]
@@ -87,205 +144,264 @@ class Chunk:
         self.run = np.flatnonzero(new)  # index of each super-k-mer's first window
         self.minimiser = smallest[self.run].view(np.int64)
 
-    def joined(self) -> tuple[bytes, np.ndarray]:
-        """All words, a blank after each, and where each word begins."""
-        sizes = np.fromiter(map(len, self.words), np.int64, len(self.words)) + 1
-        return b" ".join(self.words) + b" ", np.concatenate([[0], np.cumsum(sizes)])
+    def span(self, windows: np.ndarray, last: np.ndarray) -> tuple[list[int], list[int]]:
+        """Bytes from the first word of some windows to the blank after ``last`` ones."""
+        return self.begin[self.at[windows]].tolist(), (self.end[self.at[last] + self.width - 1] + 1).tolist()
 
 
-def _chunks(batches: Iterator[pd.DataFrame], width: int) -> Iterator[Chunk]:
-    memo, keys, texts, size = Hashes(), [], [], 0
+def _chunks(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[Chunk]:
+    keys, texts, size = [], [], 0
     for batch in batches:
-        for k1, k2, text in zip(batch["_k1"], batch["_k2"], batch["_text"]):
-            raw = (text or "").encode()
+        for k1, k2, text in zip(*(batch.column(c).to_pylist() for c in ("_k1", "_k2", "_text"))):
+            raw = text or b""
             keys.append((k1, k2))
             texts.append(raw)
             size += len(raw)
-            if size > 6 * CHUNK_WORDS:
-                yield Chunk(keys, texts, memo, width)
+            if size > CHUNK_BYTES:
+                yield Chunk(keys, texts, width)
                 keys, texts, size = [], [], 0
     if keys:
-        yield Chunk(keys, texts, memo, width)
+        yield Chunk(keys, texts, width)
 
 
 def _minimisers(width: int):
-    def rows(batches):
+    @lean
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in _chunks(batches, width):
             values, counts = np.unique(chunk.minimiser, return_counts=True)
-            yield pd.DataFrame({"minimiser": values, "n": counts})
-            yield pd.DataFrame({"minimiser": pd.array([None], "Int64"), "n": [len(chunk.words)]})
+            values = pa.array(np.append(values, 0), mask=np.arange(len(values) + 1) == len(values))
+            yield pa.RecordBatch.from_arrays([values, pa.array(np.append(counts, chunk.words).astype(np.int64))], ["minimiser", "n"])
 
     return rows
 
 
 def minimiser_counts(keyed: DataFrame, width: int = WIDTH) -> DataFrame:
     """Super-k-mers per minimiser; the row without a minimiser counts the words."""
-    rows = keyed.mapInPandas(_minimisers(width), "minimiser long, n long")
+    rows = keyed.mapInArrow(_minimisers(width), "minimiser long, n long")
     return rows.groupBy("minimiser").agg(F.sum("n").alias("n"))
 
 
-def _packed(parts: tuple) -> bytes:
-    return zstandard.ZstdCompressor(level=3).compress(pickle.dumps(parts, protocol=5))
+def _places(minimisers: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two places of each minimiser in a filter of so many bits."""
+    own = minimisers.view(np.uint64)
+    return tuple((_mixed(own ^ salt) % np.uint64(bits)).astype(np.int64) for salt in (_MIX, _MUL))
+
+
+class Filter:
+    """A Bloom filter of minimisers as words of 64 bits."""
+
+    def __init__(self, words: np.ndarray):
+        self.words = words
+
+    def has(self, minimisers: np.ndarray) -> np.ndarray:
+        found = np.ones(len(minimisers), bool)
+        for at in _places(minimisers, 64 * len(self.words)):
+            found &= (self.words[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) > 0
+        return found
+
 
+def _filter_places(bits: int):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = np.ascontiguousarray(batch.column("minimiser").to_numpy(zero_copy_only=False), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(_places(own, bits)))], ["at"])
+
+    return rows
 
-def _unpacked(blob: bytes) -> tuple:
-    return pickle.loads(zstandard.ZstdDecompressor().decompress(blob))
 
+def hot_filter(hot: DataFrame, bits: int = FILTER_BITS) -> Filter | None:
+    """The filter of the ``hot`` minimisers; at most bits / 64 rows reach the driver, however many there are."""
+    at = hot.select("minimiser").mapInArrow(_filter_places(bits), "at long")
+    words = at.groupBy(F.expr("at div 64").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(at % 64 as int)))").alias("bits"))
+    out, some = np.zeros(bits // 64, np.int64), False
+    for row in words.toLocalIterator():
+        out[row["word"]], some = row["bits"], True
+    return Filter(out.view(np.uint64)) if some else None
+
+
+def dictionary_of(keyed: DataFrame) -> bytes:
+    """A dictionary for short strings of these texts; empty if there is too little text to train one."""
+    some = keyed.select(F.substring("_text", 1, TRAINING_BYTES).alias("t")).where("length(t) > 0").limit(TRAINING_TEXTS).collect()
+    parts = [bytes(r.t)[i : i + 300] for r in some for i in range(0, len(r.t), 300)]
+    try:
+        return zstandard.train_dictionary(DICTIONARY_BYTES, parts).as_bytes()
+    except zstandard.ZstdError:
+        return b""
+
+
+class _Strings:
+    """Short strings compressed one by one, with what they share in a dictionary."""
+
+    def __init__(self, dictionary: bytes):
+        held = {"dict_data": zstandard.ZstdCompressionDict(dictionary)} if dictionary else {}
+        self._pack = zstandard.ZstdCompressor(level=3, write_content_size=True, write_checksum=False, write_dict_id=False, **held)
+        self._unpack = zstandard.ZstdDecompressor(**held)
+
+    def packed(self, strings: list[bytes]) -> list[bytes]:
+        if not strings:
+            return []
+        if b"" in strings:  # which the function below does not take
+            return [self._pack.compress(s) for s in strings]
+        out = self._pack.multi_compress_to_buffer(strings)
+        return [out[i].tobytes() for i in range(len(out))]
+
+    def one(self, string: bytes) -> bytes:
+        return self._unpack.decompress(string)
+
+    def joined(self, strings: list[bytes]) -> bytes:
+        """All strings behind one another."""
+        if not strings:
+            return b""
+        out = self._unpack.multi_decompress_to_buffer(strings)
+        return b"".join([out[i].tobytes() for i in range(len(out))])
+
+
+class _Sent:
+    """Hot windows that a task has sent: their first place until it is known to repeat, then None."""
+
+    def __init__(self):
+        self.places: dict[bytes, tuple | None] = {}
+
+    def sort(self, digests: list[bytes], places: list[tuple]) -> tuple[list[int], list[tuple]]:
+        """(windows to send, places now known to repeat)."""
+        if len(self.places) > SENT:
+            self.places.clear()
+        fresh, known = [], []
+        for i, (digest, place) in enumerate(zip(digests, places)):
+            if digest not in self.places:
+                self.places[digest] = place
+                fresh.append(i)
+                continue
+            known.append(place)
+            if (first := self.places[digest]) is not None:
+                known.append(first)
+                self.places[digest] = None
+        return fresh, known
 
-def _hot_windows(chunk: Chunk, text: bytes, begin: np.ndarray, windows: np.ndarray, buckets: int):
-    """Per bucket: (digests, counts, k1, k2, start) with one entry per distinct window, and the
-    places of windows that this chunk alone already repeats."""
-    at = chunk.at[windows]
-    ends = begin[at + chunk.width].tolist()
-    digest = xxhash.xxh3_128_digest
-    raw = b"".join(digest(text[a:b]) for a, b in zip(begin[at].tolist(), ends))
-    digests = np.frombuffer(raw, dtype=[("a", "<u8"), ("b", "<u8")])
-    _, first, inverse, counts = np.unique(digests, return_index=True, return_inverse=True, return_counts=True)
-    doc = chunk.doc[windows]
-    start = at - chunk.first[doc]
-    again = np.flatnonzero(counts[inverse] > 1)
-    places = (chunk.k1[doc[again]], chunk.k2[doc[again]], start[again].astype(np.int32))
-    bucket = (digests["a"][first] % np.uint64(buckets)).astype(np.int64)
-    one = (digests["a"][first], digests["b"][first], counts, chunk.k1[doc[first]], chunk.k2[doc[first]], start[first].astype(np.int32))
-    return bucket, one, places
 
+def _dealt(bucket, kind: int, k1, k2, start, n, data: list[bytes]) -> pa.RecordBatch:
+    columns = [np.asarray(bucket, np.int64), np.full(len(data), kind, np.int8), np.asarray(k1, np.int64), np.asarray(k2, np.int64), np.asarray(start, np.int32), np.asarray(n, np.int64)]
+    return pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(data, pa.binary())], schema=DEALT)
 
-def _deal(width: int, buckets: int, hot: np.ndarray):
-    """Map side: rows (bucket, kind, blob); kind 0 super-k-mers, 1 hot windows, 2 known places."""
 
-    def rows(batches):
+def _deal(width: int, buckets: int, hot, dictionary: bytes = b""):
+    """Map side: rows of ``DEALT``. ``data`` is the packed words of a super-k-mer of ``n`` windows, or the digest of one
+    hot window; a row without data is a range of ``n`` windows that are known to repeat."""
+
+    @lean
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent, filled, strings = _Sent(), hot.value if hot is not None else None, _Strings(dictionary)
         for chunk in _chunks(batches, width):
             if not len(chunk.run):
                 continue
-            text, begin = chunk.joined()
+            text = chunk.text.tobytes()
             last = np.append(chunk.run[1:], len(chunk.at)) - 1
-            is_hot = np.zeros(len(chunk.run), bool)
-            if len(hot):
-                near = np.minimum(np.searchsorted(hot, chunk.minimiser), len(hot) - 1)
-                is_hot = hot[near] == chunk.minimiser
-            bucket, kind, blobs = [], [], []
+            is_hot = filled.has(chunk.minimiser) if filled is not None else np.zeros(len(chunk.run), bool)
             own = np.flatnonzero(~is_hot)
-            dealt = (_mixed(chunk.minimiser[own].view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(dealt, kind="stable")
-            own, dealt = own[order], dealt[order]
             doc = chunk.doc[chunk.run[own]]
-            start = (chunk.at[chunk.run[own]] - chunk.first[doc]).astype(np.int32)
-            n = (last[own] - chunk.run[own] + 1).astype(np.int32)
-            lo = begin[chunk.at[chunk.run[own]]].tolist()
-            hi = begin[chunk.at[last[own]] + width].tolist()
-            edges = np.flatnonzero(np.diff(dealt, prepend=-1, append=-1)).tolist() if len(own) else []
-            for a, b in zip(edges, edges[1:]):
-                string = b"".join([text[x:y] for x, y in zip(lo[a:b], hi[a:b])])
-                bucket.append(int(dealt[a]))
-                kind.append(0)
-                blobs.append(_packed((chunk.k1[doc[a:b]], chunk.k2[doc[a:b]], start[a:b], n[a:b], string)))
+            lo, hi = chunk.span(chunk.run[own], last[own])
+            bucket = (_mixed(chunk.minimiser[own].view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+            start = chunk.at[chunk.run[own]] - chunk.first[doc]
+            yield _dealt(bucket, MERS, chunk.k1[doc], chunk.k2[doc], start, last[own] - chunk.run[own] + 1, strings.packed([text[a:b] for a, b in zip(lo, hi)]))
             if is_hot.any():
-                per_run = np.diff(np.append(chunk.run, len(chunk.at)))
-                windows = np.flatnonzero(np.repeat(is_hot, per_run))
-                to, one, places = _hot_windows(chunk, text, begin, windows, buckets)
-                order = np.argsort(to, kind="stable")
-                edges = np.flatnonzero(np.diff(to[order], prepend=-1, append=-1)).tolist()
-                for a, b in zip(edges, edges[1:]):
-                    bucket.append(int(to[order[a]]))
-                    kind.append(1)
-                    blobs.append(_packed(tuple(x[order[a:b]] for x in one)))
-                if len(places[0]):
-                    bucket.append(int(places[0][0]) % buckets)
-                    kind.append(2)
-                    blobs.append(_packed(places))
-            yield pd.DataFrame({"bucket": bucket, "kind": kind, "blob": blobs})
+                windows = np.flatnonzero(np.repeat(is_hot, last - chunk.run + 1))
+                digests = [xxhash.xxh3_128_digest(text[a:b]) for a, b in zip(*chunk.span(windows, windows))]
+                doc = chunk.doc[windows]
+                start = chunk.at[windows] - chunk.first[doc]
+                fresh, known = sent.sort(digests, list(zip(chunk.k1[doc].tolist(), chunk.k2[doc].tolist(), start.tolist())))
+                data = [digests[i] for i in fresh]
+                bucket = np.frombuffer(b"".join(data), "<u8")[::2] % np.uint64(buckets)
+                yield _dealt(bucket.astype(np.int64), WINDOWS, chunk.k1[doc[fresh]], chunk.k2[doc[fresh]], start[fresh], np.ones(len(fresh)), data)
+                if known:
+                    k1, k2, lo, hi = _runs(*(np.array(x, np.int64) for x in zip(*known)), width)
+                    yield _dealt(_mixed(k2.view(np.uint64)) % np.uint64(buckets), KNOWN, k1, k2, lo, hi - lo - width + 1, [b""] * len(lo))
 
     return rows
 
 
-class _Numbers(dict):
-    def __missing__(self, word):
-        value = self[word] = len(self)
-        return value
+def _bytes_of(column: pa.ChunkedArray) -> np.ndarray:
+    """The bytes of all values behind one another."""
+    parts = [np.zeros(0, np.uint8)]
+    for values in column.chunks:
+        _, offsets, data = values.buffers()
+        if len(values) and data is not None:
+            size = np.int64 if pa.types.is_large_binary(values.type) else np.int32
+            edges = np.frombuffer(offsets, size)[[values.offset, values.offset + len(values)]]
+            parts.append(np.frombuffer(data, np.uint8)[edges[0] : edges[1]])
+    return np.concatenate(parts)
 
 
-def repeated_windows(ids: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
-    """Which of the windows that start at ``at`` occur more than once, exactly."""
-    odd = np.uint64(0x9E3779B97F4A7C15 | 1)
-    inverse = np.uint64(pow(int(odd), -1, 1 << 64))
-    powers = np.cumprod(np.full(len(ids), odd, np.uint64))
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(_mixed(ids.astype(np.uint64) + _MIX) * powers)])
-    back = np.cumprod(np.full(len(ids), inverse, np.uint64))
-    prints = (sums[at + width] - sums[at]) * back[at]
+def repeated(data: np.ndarray, begin: np.ndarray, end: np.ndarray, prints: np.ndarray) -> np.ndarray:
+    """Which of the stretches [begin, end) of ``data`` occur more than once, exactly."""
     order = np.argsort(prints, kind="stable")
     same = np.flatnonzero(prints[order][1:] == prints[order][:-1])
-    left, right = at[order[same]], at[order[same + 1]]
-    equal = np.ones(len(same), bool)
-    for i in range(width):
-        equal &= ids[left + i] == ids[right + i]
-    found = np.zeros(len(at), bool)
-    found[order[same[equal]]] = True
-    found[order[same[equal] + 1]] = True
-    if not equal.all():  # unequal windows with one fingerprint: sort these by their words
-        odd_ones = np.isin(prints, prints[order[same[~equal]]])
-        mine = np.flatnonzero(odd_ones)
-        rows = ids[at[mine][:, None] + np.arange(width)]
-        _, inverse, counts = np.unique(rows, axis=0, return_inverse=True, return_counts=True)
-        found[mine] = counts[inverse.ravel()] > 1
+    left, right = order[same], order[same + 1]
+    text = data.tobytes()
+    spans = (x.tolist() for x in (begin[left], end[left], begin[right], end[right]))
+    equal = np.fromiter((text[a:b] == text[c:d] for a, b, c, d in zip(*spans)), bool, len(same))
+    found = np.zeros(len(begin), bool)
+    found[left[equal]] = found[right[equal]] = True
+    if not equal.all():  # unequal windows with one fingerprint: these by their bytes
+        counts: dict[bytes, list[int]] = {}
+        for i in np.flatnonzero(np.isin(prints, prints[left[~equal]])).tolist():
+            counts.setdefault(text[begin[i] : end[i]], []).append(i)
+        for places in counts.values():
+            found[places] = len(places) > 1
     return found
 
 
-def _runs(k1, k2, start, width: int) -> pd.DataFrame:
-    """Repeated windows as covered word ranges, neighbouring windows merged."""
+def _runs(k1: np.ndarray, k2: np.ndarray, start: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
+    """Repeated windows as covered word ranges (k1, k2, lo, hi), neighbouring windows merged."""
     order = np.lexsort((start, k2, k1))
     k1, k2, start = k1[order], k2[order], start[order].astype(np.int64)
     new = np.ones(len(k1), bool)
     new[1:] = (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1]) | (start[1:] > start[:-1] + 1)
     begins = np.flatnonzero(new)
-    ends = np.append(begins[1:], len(k1)) - 1
-    return pd.DataFrame({"_k1": k1[begins], "_k2": k2[begins], "lo": start[begins], "hi": start[ends] + width})
-
-
-def _count(width: int):
-    """Reduce side: one bucket's blobs to the ranges of its repeated windows."""
-
-    def bucket(frame: pd.DataFrame) -> pd.DataFrame:
-        k1s, k2s, starts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
-        mers = [_unpacked(b) for b in frame["blob"][frame["kind"] == 0]]
-        if mers:
-            k1, k2, start, n = (np.concatenate([m[i] for m in mers]) for i in range(4))
-            numbers = _Numbers()
-            ids = np.concatenate([np.array([*map(numbers.__getitem__, m[4].split())], np.int32) for m in mers])
-            del mers, numbers
-            lengths = n.astype(np.int64) + width - 1
+    ends = np.append(begins, len(k1))[1:] - 1
+    return k1[begins], k2[begins], start[begins], start[ends] + width
+
+
+def _count(width: int, dictionary: bytes = b""):
+    """Reduce side: one bucket's rows to the ranges of its repeated windows."""
+
+    def of_kind(table: pa.Table, kind: int) -> tuple[pa.Table, list[np.ndarray]]:
+        part = table.filter(pc.equal(table["kind"], kind))
+        return part, [part[c].to_numpy().astype(np.int64) for c in ("_k1", "_k2", "start", "n")]
+
+    def bucket(table: pa.Table) -> pa.Table:
+        found: list[tuple] = []
+        part, (k1, k2, start, n) = of_kind(table, MERS)
+        if len(k1):
+            data = np.frombuffer(_Strings(dictionary).joined(part["data"].to_pylist()), np.uint8)
+            word_end = np.flatnonzero(data == 32)
+            word_begin = np.append(0, word_end + 1)[:-1]
+            lengths = n + width - 1
             owner = np.repeat(np.arange(len(n)), n)
-            inside = np.arange(len(owner)) - np.repeat(np.cumsum(n, dtype=np.int64) - n, n)
+            inside = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
             at = (np.cumsum(lengths) - lengths)[owner] + inside
-            found = np.flatnonzero(repeated_windows(ids, at, width))
-            k1s.append(k1[owner[found]])
-            k2s.append(k2[owner[found]])
-            starts.append((start[owner[found]] + inside[found]).astype(np.int32))
-        ones = [_unpacked(b) for b in frame["blob"][frame["kind"] == 1]]
-        if ones:
-            a, b, count, k1, k2, start = (np.concatenate([m[i] for m in ones]) for i in range(6))
-            order = np.lexsort((b, a))
-            new = np.ones(len(a), bool)
-            new[1:] = (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])
+            begin, end = word_begin[at], word_end[at + width - 1] + 1
+            again = np.flatnonzero(repeated(data, begin, end, prints_of(data, begin, end)))
+            found.append((k1[owner[again]], k2[owner[again]], start[owner[again]] + inside[again]))
+        part, (k1, k2, start, n) = of_kind(table, WINDOWS)
+        if len(k1):
+            digests = _bytes_of(part["data"]).view([("a", "<u8"), ("b", "<u8")])
+            order = np.lexsort((digests["b"], digests["a"]))
+            new = np.append(True, digests[order][1:] != digests[order][:-1])
             group = np.cumsum(new) - 1
-            found = order[np.bincount(group, count[order])[group] > 1]
-            k1s.append(k1[found])
-            k2s.append(k2[found])
-            starts.append(start[found])
-        for places in map(_unpacked, frame["blob"][frame["kind"] == 2]):
-            k1s.append(places[0])
-            k2s.append(places[1])
-            starts.append(places[2])
-        k1 = np.concatenate(k1s)
-        if not len(k1):
-            return pd.DataFrame({"_k1": [], "_k2": [], "lo": [], "hi": []}).astype("int64")
-        return _runs(k1, np.concatenate(k2s), np.concatenate(starts), width)
+            again = order[np.bincount(group, n[order])[group] > 1]
+            found.append((k1[again], k2[again], start[again]))
+        ranges = [_runs(*(np.concatenate(x) for x in zip(*found)), width)] if found else []
+        _, (k1, k2, start, n) = of_kind(table, KNOWN)
+        ranges.append((k1, k2, start, start + n - 1 + width))
+        release()
+        return pa.Table.from_arrays([pa.array(np.concatenate(x)) for x in zip(*ranges)], schema=RANGES)
 
     return bucket
 
 
-def _kept(los, his, text: str | None):
+def _kept(los, his, text: bytes):
     """(words, words removed, kept text)."""
-    words = (text or "").encode().split()
+    words = text.split()
     if los is None or not len(los):
         return len(words), 0, b" ".join(words).decode()
     mark = np.zeros(len(words) + 1, np.int32)
@@ -295,25 +411,47 @@ def _kept(los, his, text: str | None):
     return len(words), int(len(words) - keep.sum()), b" ".join([w for w, k in zip(words, keep.tolist()) if k]).decode()
 
 
-def _cut(texts: pd.Series, los: pd.Series, his: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([_kept(lo, hi, t) for t, lo, hi in zip(texts, los, his)], columns=["n_words", "n_removed", "kept"])
+def _cut(dictionary: bytes):
+    def rows(packed: pd.Series, los: pd.Series, his: pd.Series) -> pd.DataFrame:
+        one = _Strings(dictionary).one
+        return pd.DataFrame([_kept(lo, hi, one(p)) for p, lo, hi in zip(packed, los, his)], columns=["n_words", "n_removed", "kept"])
+
+    return F.pandas_udf(rows, "n_words long, n_removed long, kept string")
+
+
+def _pack(dictionary: bytes):
+    def rows(texts: pd.Series) -> pd.Series:
+        return pd.Series(_Strings(dictionary).packed([(t or "").encode() for t in texts]), dtype=object)
+
+    return F.pandas_udf(rows, "binary")
+
+
+def _unpack(dictionary: bytes):
+    def rows(packed: pd.Series) -> pd.Series:
+        one = _Strings(dictionary).one
+        return pd.Series([one(p).decode() for p in packed], dtype=object)
+
+    return F.pandas_udf(rows, "string")
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(*row_key(), F.encode("text", "utf-8").alias("_text"))
 
 
-def repeated_ranges(docs: DataFrame, width: int = WIDTH, hot: int = HOT) -> DataFrame:
+def repeated_ranges(docs: DataFrame, dictionary: bytes, width: int = WIDTH, hot: int = HOT, bits: int = FILTER_BITS) -> DataFrame:
     """``_k1, _k2, lo, hi``: word ranges of each row's text that repeated windows cover."""
-    keyed = docs.select(*row_key(), F.col("text").alias("_text"))
+    keyed = _keyed(docs)
     counts = stored(minimiser_counts(keyed, width).where(F.col("minimiser").isNull() | (F.col("n") > hot)), "minimisers")
     words = counts.where("minimiser is null").agg(F.sum("n")).first()[0] or 0
-    while (listed := counts.where(F.col("minimiser").isNotNull() & (F.col("n") > hot))).count() > MAX_HOT:
-        hot *= 2
-    often = np.array(sorted(r.minimiser for r in listed.select("minimiser").toLocalIterator()), np.int64)
+    often = hot_filter(counts.where("minimiser is not null"), bits)
+    held = docs.sparkSession.sparkContext.broadcast(often) if often is not None else None
     buckets = max(4 * parallel(docs), words // BUCKET_WORDS)
-    dealt = keyed.mapInPandas(_deal(width, buckets, often), "bucket long, kind int, blob binary")
-    ranges = dealt.groupBy("bucket").applyInPandas(_count(width), "_k1 long, _k2 long, lo long, hi long")
+    dealt = keyed.mapInArrow(_deal(width, buckets, held, dictionary), "bucket long, kind byte, _k1 long, _k2 long, start int, n long, data binary")
+    ranges = dealt.groupBy("bucket").applyInArrow(_count(width, dictionary), "_k1 long, _k2 long, lo long, hi long")
     return stored(ranges, "repeats")
 
 
-def remove_repeats(docs: DataFrame, width: int = WIDTH, hot: int = HOT) -> DataFrame:
+def remove_repeats(docs: DataFrame, width: int = WIDTH, hot: int = HOT, bits: int = FILTER_BITS) -> DataFrame:
     """Removes every word covered by a window of ``width`` words that also starts anywhere else.
 
     ``docs`` needs ``doc_id`` and ``text``; the result has its columns in ``_row`` (a struct) and
@@ -322,8 +460,13 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, hot: int = HOT) -> DataF
     rows (null ids too) count as different places, so their windows repeat; other columns, of any
     name, pass unchanged; an empty table gives an empty result.
     """
-    ranges = repeated_ranges(docs, width, hot)
+    dictionary = dictionary_of(_keyed(docs))
+    ranges = repeated_ranges(docs, dictionary, width, hot, bits)
     per_text = ranges.groupBy("_k1", "_k2").agg(F.collect_set(F.struct("lo", "hi")).alias("_ranges"))
-    cut = F.pandas_udf(_cut, "n_words long, n_removed long, kept string")
-    joined = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *row_key()).join(per_text, ["_k1", "_k2"], "left")
-    return joined.select("_row", cut("_row.text", "_ranges.lo", "_ranges.hi").alias("_cut"))
+    # texts meet their ranges compressed, and become texts again only where they are asked for
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    rows = docs.select(F.struct(*others).alias("_others"), F.col("text").isNull().alias("_no_text"), *row_key(), _pack(dictionary)("text").alias("_packed"))
+    joined = rows.join(per_text, ["_k1", "_k2"], "left")
+    text = F.when(~F.col("_no_text"), _unpack(dictionary)("_packed")).alias("text")
+    fields = [text if c == "text" else F.col("_others")[c].alias(c) for c in docs.columns]
+    return joined.select(F.struct(*fields).alias("_row"), _cut(dictionary)("_packed", "_ranges.lo", "_ranges.hi").alias("_cut"))
