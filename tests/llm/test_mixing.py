@@ -116,3 +116,35 @@ def test_whole_table(spark):
     assert out.count() == 1000
     sums = out.groupBy("target", "source_size").agg(F.sum("taken").alias("n")).collect()
     assert sum(r.n > 0 for r in sums) == len(sums) and all(abs(r.n - r.target) <= 1 for r in sums if r.target != 3 * r.source_size)
+
+
+@pytest.mark.parametrize("block", [256, 7])
+def test_takes_equal_a_walk_through_the_schedule(spark, block):
+    """Every document's words, slot by slot and word by word along its source's line."""
+    docs = spark.createDataFrame(rows(), "doc_id long, source string, text string").repartition(3)
+    order = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", F.lit(11))).otherwise(F.xxhash64("text", F.lit(11)))
+    lines = {}
+    for r in docs.select("doc_id", "source", "text", order.alias("h"), *mixing.row_key()).collect():
+        size = len((r.text or "").encode().split())
+        lines.setdefault(r.source, []).append((r.h, r.doc_id is not None, r.doc_id or 0, size, r._k2, r.doc_id))
+    sizes = docs.groupBy("source").agg(F.sum(mixing.word_count("text")).alias("source_size"))
+    sources = mixing.targets(sizes)
+    names = {r.sid: (r.source, r.target) for r in sources.collect()}
+    want = []
+    plans = {r.sid: r for r in mixing.plans(sources, block).collect()}
+    for sid, (source, target) in names.items():
+        line = sorted(lines[source])
+        words = [at for at, doc in enumerate(line) for _ in range(doc[3])]
+        taken = [0] * len(line)
+        if (plan := plans.get(sid)) is not None:
+            block_at = {(plan.factor * b + plan.shift) % plan.blocks: b for b in range(plan.blocks)}
+            assert len(block_at) == plan.blocks
+            for j in range(plan.slots):
+                start = block_at[j % plan.blocks] * block
+                own = words[start : start + block]
+                for at in own if j < plan.slots - 1 else own[: plan.last_words]:
+                    taken[at] += 1
+            assert sum(taken) == round(target)
+        want += [(str(doc[5]), doc[3], n) for doc, n in zip(line, taken)]
+    got = [(str(r.doc_id), r.size, r.taken) for r in mixing.mix(docs, block=block).collect()]
+    assert sorted(got) == sorted(want)
