@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 USER = "user_pseudo_id"
 BUSY = "_busy"
+BUCKET = "_bucket"
 #: A user with more than this share of all events is busy: at most 1,000 users are.
 SHARE = 0.001
 
@@ -41,10 +42,12 @@ def busy_users(events: DataFrame, share: float = SHARE) -> list[str]:
 def write_by_user(events: DataFrame, table: str, buckets: int, path: str | None = None, share: float = SHARE) -> None:
     """Writes ``events`` as ``table`` and ``table_busy`` (in place of what is there); ``path`` is where their files go.
 
-    Each task writes one bucket, a file a shard. Every column stays.
+    A task writes whole buckets of some shards, a file each, and a bucket of a shard that is too large
+    for one task is split: what a task sorts does not grow with the bucket. Every column stays.
     """
     is_busy = F.col(USER).isNull() | F.col(USER).isin(busy_users(events, share))
-    quiet = events.where(~is_busy).repartition(buckets, USER)
+    bucket = F.pmod(F.hash(USER), F.lit(buckets))  # as bucketBy has it
+    quiet = events.where(~is_busy).withColumn(BUCKET, bucket).hint("rebalance", "shard", BUCKET).drop(BUCKET)
     writers = {
         table: quiet.write.bucketBy(buckets, USER).sortBy(USER),
         table + BUSY: events.where(is_busy).hint("rebalance", "shard").write,

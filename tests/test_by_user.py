@@ -77,3 +77,24 @@ def test_no_events(spark, tmp_path):
     finally:
         for table in ("nothing", "nothing_busy"):
             spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def test_a_bucket_is_written_by_many_tasks(spark, tmp_path):
+    """What a task sorts must not grow with the bucket: two buckets are no two tasks, and nothing is lost."""
+    df = events(spark, some())
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        by_user.write_by_user(df, "split", 2, str(tmp_path), share=1.0)
+        table = by_user.read_by_user(spark, "split")
+        tasks = {file.rsplit("/part-", 1)[1].split("-")[0] for file in table.quiet.inputFiles()}
+        assert len(tasks) > 2 and set(table.quiet.columns) == set(df.columns)
+        assert sorted(map(str, table.each(rollup).collect())) == sorted(map(str, rollup(df).collect()))
+        plan = rollup(table.quiet)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "SelectedBucketsCount: 2 out of 2" in plan
+    finally:
+        for key in small:
+            spark.conf.unset(key)
+        for name in ("split", "split_busy"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
