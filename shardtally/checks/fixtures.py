@@ -60,8 +60,9 @@ def _key_values(empty: Column, again: tuple[str, Column] | None = None, **values
 
 def events(spark: SparkSession, sf_dir: str, by_day: bool = False) -> DataFrame:
     """The event table.  ``by_day`` brings the rows of a day together, for writing day
-    partitions: the short raw rows are shuffled, before the nested columns are made, and
-    a day with too many rows for one task is split."""
+    partitions: the short raw rows are shuffled and sorted, before the nested columns are
+    made (the writer finds them in order and sorts no wide rows), and a day with too many
+    rows for one task is split."""
     k = F.col("k")
     uid = F.col("uid")
     made = F.col("event_type")
@@ -97,7 +98,7 @@ def events(spark: SparkSession, sf_dir: str, by_day: bool = False) -> DataFrame:
         .withColumn("shard", F.date_format(utc().cast("date"), "yyyyMMdd"))
     )
     if by_day:
-        base = base.hint("rebalance", "shard")
+        base = base.hint("rebalance", "shard").sortWithinPartitions("shard")
     is_click = name == "ccc_notification_type"
     original = F.col("copy") == 0
     page = _cycle(PAGE_CYCLE, k % 7)
