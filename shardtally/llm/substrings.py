@@ -412,11 +412,15 @@ def _kept(los, his, text: bytes):
 
 
 def _cut(dictionary: bytes):
+    """Called non-deterministic, so that a filter on its results is not moved below it: each task would then
+    cut its texts twice, in two Python workers at once."""
+
     def rows(packed: pd.Series, los: pd.Series, his: pd.Series) -> pd.DataFrame:
+        release()  # what the batch before took
         one = _Strings(dictionary).one
         return pd.DataFrame([_kept(lo, hi, one(p)) for p, lo, hi in zip(packed, los, his)], columns=["n_words", "n_removed", "kept"])
 
-    return F.pandas_udf(rows, "n_words long, n_removed long, kept string")
+    return F.pandas_udf(rows, "n_words long, n_removed long, kept string").asNondeterministic()
 
 
 def _pack(dictionary: bytes):

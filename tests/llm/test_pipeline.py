@@ -82,3 +82,9 @@ def test_one_row_stays_of_null_and_repeated_ids(spark):
     got = [tuple(r) for r in dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, FOLDER).collect()]
     assert [sum(g in chosen for g in got) for chosen in ([(None, copy(i)) for i in range(4)], [(7, other(1)), (7, other(2))])] == [1, 1]
     assert {(7, "alone and not like the others at all"), (3, third(2)), (None, ""), (8, None)} <= set(got) and len(got) == 6
+
+
+def test_texts_are_cut_once(spark):
+    """The filter on the words that stay is no second cut below the first one, in further Python workers."""
+    cut = dict(corpus_pipeline.STAGES)["substring_dedup"](spark, table(spark, FOLDER, "documents"), FOLDER)
+    assert cut._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython [") == 2  # packed, then cut and unpacked
